@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, packing, pieces, quality
+from . import chat, langid, maintext, packing, pieces, quality
 from .common import table
 
 #: Vocabulary files, by the names of the public tokenizer collection; a parameter of each operator.
@@ -36,11 +37,29 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts look like marks."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = F.lit(r"\### Assistant: </turn> ok")
+    added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), tricky.alias("text"))
+    return chat.read_back(chat.format_examples(turns.unionByName(added)))
+
+
+_TRICKY = r"SELECT -7 AS conv_id, turn, role, '\### Assistant: </turn> ok' AS text FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
     "op3_sentencepiece": op3_sentencepiece,
     "op6_quality_rules": op6_quality_rules,
+    "op7_html_extraction": op7_html_extraction,
+    "op9_chat_formatting": op9_chat_formatting,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_chat_formatting": chat.ORACLE.format(turns=f"(SELECT conv_id, turn, role, text FROM conversations UNION ALL {_TRICKY})"),
+}
