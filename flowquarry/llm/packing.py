@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +27,8 @@ CAPACITY = 2048
 #: Windows in a group: the unit of differencing. Memory of a task is bounded by it.
 GROUP_WINDOWS = 128
 END_ID = 1
-CACHE, CACHE_CHARS = 800_000, 48
+#: Words kept with their ids, half of them the older half.
+CACHE, CACHE_CHARS, RUNS = 1_000_000, 48, 600_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -126,34 +128,60 @@ class WordIds:
     """Token ids of whole texts, one space- or line-separated word at a time.
 
     The tokenizer drops white space and no token crosses it, so a text's ids are its words'
-    ids side by side; common words are encoded once.
+    ids side by side; common words are encoded once. Most words are a run of letters and a run
+    of other signs, which the tokenizer's pre-tokenization parts: of those each run is kept
+    too, in lower case as its normalization makes it, and goes to its model directly. All
+    other words take the tokenizer's whole way.
     """
 
+    _RUNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+    #: The printable stand-in of each byte in byte-level vocabularies.
+    _KEPT = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        other = [b for b in range(256) if b not in set(self._KEPT)]
+        self.signs = {b: chr(b) for b in self._KEPT} | {b: chr(256 + i) for i, b in enumerate(other)}
+        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.cache: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {"": b""}
+
+    def _run(self, run: str) -> bytes:
+        ids = self.runs.get(run)
+        if ids is None:
+            signs = run if run.isascii() else "".join([self.signs[b] for b in run.encode()])
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(signs)])
+            if len(self.runs) >= RUNS:
+                self.runs = {"": b""}
+            self.runs[run] = ids
+        return ids
 
     def texts(self, texts: list[str]) -> list[bytes]:
+        if len(self.cache) >= CACHE // 2:
+            self.cache, self.older = {"": b""}, self.cache
+        get = self.cache.get
         lists = [x.replace("\n", " ").split(" ") for x in texts]
-        fresh: set[str] = set()
-        for words in lists:
-            fresh.update(words)
-        cache, older = self.cache, self.older
-        if len(cache) >= CACHE // 2:
-            cache, older = self.cache, self.older = {"": b""}, cache
-        known = {w: older[w] for w in fresh if w not in cache and w in older}
-        cache.update(known)
-        new = [w for w in fresh if w not in cache]
-        for word, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            cache[word] = b"".join([i.to_bytes(4, "little") for i in x.ids])
-        out = [b"".join(map(cache.__getitem__, words)) for words in lists]
-        for word in new:
-            if len(word) > CACHE_CHARS:
-                del cache[word]
-        return out
+        found = [list(map(get, words)) for words in lists]
+        missing = {w for words, got in zip(lists, found, strict=True) if None in got for w, x in zip(words, got, strict=True) if x is None}
+        made, whole, split = {}, [], self._RUNS.fullmatch
+        for w in missing:
+            if w in self.older:
+                made[w] = self.older[w]
+            elif len(w) <= CACHE_CHARS and (m := split(w)) and not any(x in w for x in self.special):
+                made[w] = self._run(m[1].lower()) + self._run(m[2])
+            else:
+                whole.append(w)
+        for word, x in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
+            made[word] = b"".join([i.to_bytes(4, "little") for i in x.ids])
+        for words, got in zip(lists, found, strict=True):
+            if None in got:
+                got[:] = [made[w] if x is None else x for w, x in zip(words, got, strict=True)]
+        self.cache.update((w, x) for w, x in made.items() if len(w) <= CACHE_CHARS)
+        return list(map(b"".join, found))
 
 
 @functools.lru_cache(1)
