@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, maintext, packing, pieces, quality
+from . import chat, langid, maintext, packing, pieces, quality, vectors
 from .common import table
 
 #: Vocabulary files, by the names of the public tokenizer collection; a parameter of each operator.
@@ -49,6 +49,10 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_examples(turns.unionByName(added)))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 _TRICKY = r"SELECT -7 AS conv_id, turn, role, '\### Assistant: </turn> ok' AS text FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -58,8 +62,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_html_extraction": op7_html_extraction,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op9_chat_formatting": chat.ORACLE.format(turns=f"(SELECT conv_id, turn, role, text FROM conversations UNION ALL {_TRICKY})"),
+    "op10_embedding_dedup": vectors.ORACLE,
 }
