@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -93,16 +94,12 @@ class WordTable:
             self.ids, self.values, self.room = {}, [], 0
         bounds = np.zeros(len(lists) + 1, dtype=np.int64)
         np.cumsum([len(x) for x in lists], out=bounds[1:])
-        fresh = set()
-        for x in lists:
-            fresh.update(x)
-        fresh = [w for w in fresh if w not in self.ids]
-        if fresh or not self.values:
-            self._add(fresh)
-        get = self.ids.__getitem__
-        out = np.empty(int(bounds[-1]), dtype=np.int64)
-        for x, a, b in zip(lists, bounds[:-1], bounds[1:], strict=True):
-            out[a:b] = np.fromiter(map(get, x), dtype=np.int64, count=len(x))
+        out = np.fromiter(map(self.ids.get, itertools.chain.from_iterable(lists), itertools.repeat(-1)), dtype=np.int64, count=int(bounds[-1]))
+        missing = np.flatnonzero(out < 0)
+        if len(missing) or not self.values:
+            words = [lists[i][j] for i, j in _places(missing, bounds)]
+            self._add(list(dict.fromkeys(words)))
+            out[missing] = list(map(self.ids.__getitem__, words))
         return out, bounds
 
     def _add(self, fresh: list[str]) -> None:
@@ -122,6 +119,12 @@ class WordTable:
         self.ids.update(zip(fresh, range(n, n + len(fresh)), strict=True))
 
 
+def _places(at: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """List and place in it of each position."""
+    which = np.searchsorted(bounds, at, side="right") - 1
+    return zip(which.tolist(), (at - bounds[which]).tolist(), strict=True)
+
+
 def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of rows; an empty run sums to zero. A run's sum depends on its rows alone."""
     out = np.zeros((len(bounds) - 1, *values.shape[1:]), dtype=values.dtype)

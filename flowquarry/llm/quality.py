@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from .common import WordTable, carrying, slices, sums, with_text
 
 #: Bound of the labelled rows that the classifier is fitted on.
-TRAIN_ROWS = 4000
+TRAIN_ROWS = 2000
 BUCKETS = 1 << 18
 GRAMS = (2, 3, 4)
-ROUNDS, PENALTY = 80, 1e-4
+ROUNDS, PENALTY = 60, 1e-4
 #: Every this many-th row of the sample is left out of the fit and calibrates its scores.
 CALIBRATE_EVERY = 4
 #: Fixed thresholds: words of a text, percent of repeated words, probability of good quality.
@@ -132,14 +132,18 @@ def fit(rows: list[tuple[dict[str, int], int]]) -> Classifier:
         return Classifier(np.zeros(BUCKETS), 0.0, 1.0, 30.0 if rate >= 0.5 else -30.0)
     names = sorted({w for c, _ in rows for w in c})
     number = {w: i for i, w in enumerate(names)}
-    doc = np.concatenate([np.full(len(c), i) for i, (c, _) in enumerate(rows)])
+    doc = np.concatenate([np.full(len(c), i, dtype=np.int32) for i, (c, _) in enumerate(rows)])
     word = np.fromiter((number[w] for c, _ in rows for w in c), dtype=np.int64, count=len(doc))
     use = np.fromiter((n / total for c, _ in rows for total in [sum(c.values())] for n in c.values()), dtype=np.float64, count=len(doc))
-    lists = [features(w) for w in names]
-    size = np.array([len(x) for x in lists])
-    bucket = np.fromiter((y for x in lists for y in x), dtype=np.int64, count=int(size.sum()))
-    of = np.repeat(np.arange(len(names)), size)
-    weight = np.repeat(1.0 / np.maximum(size - 1, 1), size)
+    size = np.empty(len(names), dtype=np.int64)
+    chunks = []
+    for i in range(0, len(names), 10_000):  # bounded memory: buckets as 32-bit numbers
+        lists = [features(w) for w in names[i : i + 10_000]]
+        size[i : i + len(lists)] = [len(x) for x in lists]
+        chunks.append(np.fromiter((y for x in lists for y in x), dtype=np.int32))
+    bucket = np.concatenate(chunks)
+    of = np.repeat(np.arange(len(names), dtype=np.int32), size)
+    weight = np.repeat((1.0 / np.maximum(size - 1, 1)).astype(np.float32), size)
     weight[np.concatenate([[0], np.cumsum(size)[:-1]])] = 1.0
     held = np.arange(len(rows)) % CALIBRATE_EVERY == 0
     train = ~held if 0 < labels[held].mean() < 1 and 0 < labels[~held].mean() < 1 else np.ones(len(rows), bool)
@@ -194,8 +198,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> Cla
                 kind = pa.list_(pa.string())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("quality").cast(pa.int64()), pa.array([list(c) for c in made], kind), pa.array([list(c.values()) for c in made], pa.list_(pa.int64()))], ["doc_id", "quality", "words", "counts"])
 
-    rows = sample.mapInArrow(count, "doc_id long, quality long, words array<string>, counts array<long>").toArrow().sort_by("doc_id").to_pydict()
-    return fit([(dict(zip(w, n, strict=True)), int(q > 0)) for w, n, q in zip(rows["words"], rows["counts"], rows["quality"], strict=True)])
+    rows = sample.mapInArrow(count, "doc_id long, quality long, words array<string>, counts array<long>").toArrow().sort_by("doc_id")
+    names: dict[str, str] = {}  # equal words share one object
+    made = []
+    for batch in rows.to_batches(max_chunksize=100):
+        for q, w, n in zip(*(batch.column(c).to_pylist() for c in ("quality", "words", "counts")), strict=True):
+            made.append((dict(zip([names.setdefault(x, x) for x in w], n, strict=True)), int(q > 0)))
+    return fit(made)
 
 
 def judge(docs: DataFrame, model: Classifier, carry: bool = False) -> DataFrame:
