@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, maintext, packing, pieces, quality, vectors
+from . import chat, jaccard, langid, maintext, packing, pieces, quality, vectors
 from .common import table
 
 #: Vocabulary files, by the names of the public tokenizer collection; a parameter of each operator.
@@ -41,6 +41,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintext.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_components(table(spark, sf_dir, "documents"))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts look like marks."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op6_quality_rules": op6_quality_rules,
     "op7_html_extraction": op7_html_extraction,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
