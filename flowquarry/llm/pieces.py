@@ -25,7 +25,9 @@ from .common import slices
 
 SPACE = "▁"
 #: Chunks kept with their ids, half of them the older half; longer ones are always encoded anew.
-CACHE, CACHE_CHARS = 800_000, 48
+CACHE, CACHE_CHARS = 1_200_000, 48
+#: Results of compatibility tests that are kept.
+PAIRS = 500_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -56,9 +58,9 @@ class PrefixTable:
                 tokens.add_word(name, name)
         tokens.make_automaton()
         self.tokens = tokens
-        self.chars = {x for x in self.rank if len(x) == 1}
         self.cache: dict[str, tuple[str, str]] = {}
         self.older: dict[str, tuple[str, str]] = {}
+        self.fits: dict[tuple[str, str], bool] = {}
 
     def _last_merge(self, name: str) -> tuple[str, str] | None:
         """The two tokens whose merge makes this one; None if merging its characters never does."""
@@ -93,20 +95,31 @@ class PrefixTable:
             else:
                 limit, b = (rb, 2), halves[b][0]
 
+    def _tested(self, left: str, name: str) -> bool:
+        if len(self.fits) >= PAIRS:
+            self.fits.clear()
+        fit = self.fits[left, name] = self.compatible(left, name)
+        return fit
+
     def encode_chunk(self, text: str) -> list[int]:
         """Ids of a text that already has its spaces marked."""
         last: list[str | None] = [None] * (len(text) + 1)
         ends: dict[int, list[str]] = {}
         for end, name in self.tokens.iter(text):
             ends.setdefault(end, []).append(name)
-        compatible = self.compatible
-        for end, char in enumerate(text):
-            for name in reversed(ends.get(end, ())):
+        fits = self.fits
+        for end, names in ends.items():
+            for name in names:
                 before = end + 1 - len(name)
                 left = last[before] if before else None
-                if left is None or compatible(left, name):
-                    last[end + 1] = name
-                    break
+                if left is not None:
+                    fit = fits.get((left, name))
+                    if fit is None:
+                        fit = self._tested(left, name)
+                    if not fit:
+                        continue
+                last[end + 1] = name
+                break
             # Otherwise the character has no token; its bytes stand for it and nothing merges with it.
         out: list[int] = []
         at = len(text)
@@ -137,15 +150,20 @@ class PrefixTable:
         text = "".join(out)
         return text[1:] if ids and self.names[ids[0]].startswith(SPACE) else text
 
-    def _chunk(self, key: str) -> tuple[str, str]:
-        """Comma-joined ids and decoded text of a chunk; the line break opens a chunk without a mark."""
-        found = self.cache.get(key)
-        if found is None:
-            found = self.older.get(key) or self._encoded(key)
-            if len(key) <= CACHE_CHARS:
-                if len(self.cache) >= CACHE // 2:
-                    self.cache, self.older = {}, self.cache
-                self.cache[key] = found
+    def _found(self, text: str) -> list[tuple[str, str]]:
+        """Comma-joined ids and decoded text of each chunk of a text."""
+        if not text:
+            return []
+        keys = self._chunks.findall(SPACE + text.replace(" ", SPACE))
+        found = list(map(self.cache.get, keys))
+        if None in found:
+            for i, key in enumerate(keys):
+                if found[i] is None:
+                    found[i] = self.older.get(key) or self.cache.get(key) or self._encoded(key)
+                    if len(key) <= CACHE_CHARS:
+                        self.cache[key] = found[i]
+            if len(self.cache) >= CACHE // 2:
+                self.cache, self.older = {}, self.cache
         return found
 
     def _encoded(self, key: str) -> tuple[str, str]:
@@ -158,14 +176,14 @@ class PrefixTable:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids joined by commas, SHA-256 of the decoded text."""
-        parts = list(map(self._chunk, self._chunks.findall(SPACE + text.replace(" ", SPACE)))) if text else []
+        parts = self._found(text)
         ids = ",".join([x for x, _ in parts])
         decoded = "".join([x for _, x in parts])[1:]
         return ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text."""
-        ids = ",".join(self._chunk(x)[0] for x in self._chunks.findall(SPACE + text.replace(" ", SPACE))) if text else ""
+        ids = ",".join(x for x, _ in self._found(text))
         return list(map(int, ids.split(","))) if ids else []
 
 
