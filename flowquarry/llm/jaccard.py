@@ -8,18 +8,24 @@ until, whatever is missing, a rare token or two tokens of a class are shared:
 sum over rare tokens of 1 + sum over classes of (tokens - 1) > n - t. Sets that share a
 signature are candidates; their full token sets decide.
 
-Counting tokens is the costly part, so only tokens with small hashes are counted and ordered
-by count; the others come later, by hash, and are needed by small sets alone. Any global order
-is right, so this changes no result. Tokens that are nearly everywhere (found from all sets)
-aren't gathered; they count as most frequent.
+Sets meet in the size band of the smaller one. There it gives the signatures of the prefix
+that any partner of its size or more needs; the larger one gives, for each band that can hold
+a smaller partner, those of the longer prefix that the band's smallest size needs. The band
+also fixes the scheme: the order of tokens and the number of classes. Counting tokens is the costly part, so in the schemes of large sets only tokens with small hashes are
+counted and ordered by count, and the others come later, by hash. Small sets give all their
+tokens. Any order that two sets share is right, so this changes no result. Tokens that are
+nearly everywhere (found from all sets) aren't gathered; they count as most frequent.
 
 Equal sets are one class before the join. A bucket of sets with one signature doesn't emit all
 its pairs: its members are first compared with its first member, and only members that the
-links so far leave in different components are compared further.
+links so far leave in different components are compared further. A candidate pair is dropped
+without its token sets if bitmaps of the parities of hashed tokens differ in more bits than
+similar sets differ in tokens.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 from collections.abc import Iterator
@@ -27,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WordTable, dropped, shared_folder, slices
@@ -40,13 +46,18 @@ COUNTED = 0.3
 RARE = 32
 #: Tokens in more than this share of all sets aren't gathered; a task reports those above the second share of its sets.
 EVERYWHERE, REPORTED = 0.005, 0.002
-#: Classes of frequent tokens for sets of at least so many tokens.
-CLASSES = ((0, 1), (32, 16), (1024, 64), (8192, 512))
+#: Schemes: least size of a band, classes of frequent tokens, whether all tokens are ordered by count.
+SCHEMES = ((1, 1, True), (32, 16, True), (512, 16, False), (1024, 64, False), (8192, 512, False))
+SMALL = 512
+#: A band's sizes lie within this share of its largest.
+BAND = 0.92
 #: Entries that one index group holds on average, and the least number of groups.
 GROUP_ENTRIES, MIN_GROUPS = 2_000_000, 32
 _CUT = int(COUNTED * 2**64)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
-SETS = "doc_id long, n int, key binary, low binary"
+SETS = "doc_id long, n int, key binary, low binary, bits array<long>"
+#: Bits of a set's parity bitmap.
+BITS = 256
 
 
 def finished(x: np.ndarray) -> np.ndarray:
@@ -93,24 +104,51 @@ def token_sets(texts: list[str], table: WordTable, width: int = SHINGLE_WORDS) -
     return out
 
 
-def least_overlap(n: np.ndarray | int, percent: int = MIN_PERCENT) -> np.ndarray | int:
-    """Tokens that a set of n shares at least with any similar set."""
-    return (percent * n + 99) // 100
+def least_overlap(a: int, b: int, percent: int = MIN_PERCENT) -> int:
+    """Tokens that similar sets of these sizes share at least."""
+    return -(-percent * (a + b) // (100 + percent))
 
 
-def schemes(n: int, percent: int = MIN_PERCENT) -> list[int]:
-    """Numbers of classes under which a set makes signatures; similar sets have one in common."""
+def smallest_partner(n: int, percent: int = MIN_PERCENT) -> int:
+    return -(-percent * n // 100)
+
+
+@functools.cache
+def _band_starts(least: int) -> list[int]:
+    """Least sizes of the bands, up to beyond ``least``."""
+    starts = [1]
+    while starts[-1] <= least:
+        starts.append(max(starts[-1] + 1, int(starts[-1] / BAND) + 1))
+    return starts
+
+
+def bands(n: int, percent: int = MIN_PERCENT) -> list[tuple[int, int, int]]:
+    """Bands of a set's partners that aren't larger: least size (which names the band), scheme, longest prefix for them."""
+    starts = _band_starts(1 << max(4, n.bit_length()))
+    low = smallest_partner(n, percent)
     out = []
-    for i, (least, classes) in enumerate(CLASSES):
-        below = CLASSES[i + 1][0] if i + 1 < len(CLASSES) else None
-        if (n >= least and (below is None or n < below)) or (n < least and 100 * n >= percent * least):
-            out.append(classes)
+    for i in range(bisect.bisect_right(starts, low) - 1, bisect.bisect_right(starts, n)):
+        scheme = bisect.bisect_right(SCHEMES, starts[i], key=lambda x: x[0]) - 1
+        out.append((starts[i], scheme, n - least_overlap(max(low, starts[i]), n, percent) + 1))
     return out
 
 
-def prefix_length(n: int, classes: int, percent: int = MIN_PERCENT) -> int:
-    """Length of the longest prefix that may be needed."""
-    return min(n, n - least_overlap(n, percent) + 1 + classes)
+def gathered(s: np.ndarray, percent: int = MIN_PERCENT) -> np.ndarray:
+    """The tokens, smallest hashes first, that a set's prefixes can hold."""
+    n = len(s)
+    if not n:
+        return s
+    found = bands(n, percent)
+    if found[0][0] < SMALL:
+        return s
+    longest = found[0][2] + max(SCHEMES[scheme][1] for _, scheme, _ in found)
+    return s[: max(int(np.searchsorted(s, np.uint64(_CUT))), longest)]
+
+
+def parities(s: np.ndarray) -> np.ndarray:
+    """For each bit, the parity of the number of tokens that fall on it, packed in 64-bit numbers."""
+    odd = np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _sets(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,13 +156,9 @@ def _sets(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     for batch in batches:
         for part in slices(batch):
             sets = token_sets([x or "" for x in part.column("text").to_pylist()], table)
-            low = []
-            for s in sets:
-                n = len(s)
-                size = max([int(np.searchsorted(s, np.uint64(_CUT))), *(prefix_length(n, c, percent) for c in schemes(n, percent))]) if n else 0
-                low.append(s[:size].tobytes())
+            low = [gathered(x, percent).tobytes() for x in sets]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array(keys, pa.binary()), pa.array(low, pa.binary())], ["doc_id", "n", "key", "low"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array(keys, pa.binary()), pa.array(low, pa.binary()), pa.array(list(map(parities, sets)), pa.list_(pa.int64()))], ["doc_id", "n", "key", "low", "bits"])
 
 
 def _joined(batch: pa.RecordBatch | pa.Table, column: str, kind: type = np.uint64) -> tuple[np.ndarray, np.ndarray]:
@@ -170,13 +204,21 @@ def _index(everywhere: np.ndarray, parts: int, batches: Iterator[pa.RecordBatch]
         reps = np.repeat(np.asarray(batch.column("rep")), size)
         gathered = ~np.isin(tokens, everywhere)
         tokens, reps = tokens[gathered], reps[gathered]
-        yield from _dealt(_parts(tokens, parts), [tokens, reps], ["tokens", "reps"])
+        # A part's tokens stand set by set: each set's id is written once, with its number of tokens.
+        part = _parts(tokens, parts)
+        order = np.argsort(part, kind="stable")
+        part, tokens, reps = part[order], tokens[order], reps[order]
+        starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (reps[1:] != reps[:-1])]) if len(part) else np.zeros(0, int)
+        runs = np.diff(np.r_[starts, len(part)]).astype(np.int32)
+        by_run = next(_dealt(part[starts], [reps[starts], runs], ["reps", "runs"]))
+        by_token = next(_dealt(part, [tokens], ["tokens"]))
+        yield pa.RecordBatch.from_arrays([by_run.column("part"), by_token.column("tokens"), by_run.column("reps"), by_run.column("runs")], ["part", "tokens", "reps", "runs"])
 
 
 def _counted(parts: int, group: pa.Table) -> pa.Table:
     """Counts of a group's tokens, dealt back to the sets; single tokens of the counted range are left out."""
     tokens, _ = _joined(group, "tokens")
-    reps, _ = _joined(group, "reps", np.int64)
+    reps = np.repeat(_joined(group, "reps", np.int64)[0], _joined(group, "runs", np.int32)[0])
     order = np.argsort(tokens, kind="stable")
     tokens, reps = tokens[order], reps[order]
     starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]]) if len(tokens) else np.zeros(0, int)
@@ -196,37 +238,46 @@ def _described(everywhere: np.ndarray, parts: int, batches: Iterator[pa.RecordBa
         total = np.r_[0, np.cumsum(counted & ~often)]
         own = [tokens[a:b][often[a:b]].tobytes() for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True)]
         reps = np.asarray(batch.column("rep"))
-        yield pa.RecordBatch.from_arrays([pa.array(_parts(reps.view(np.uint64), parts), pa.int32()), pa.array(reps), batch.column("n"), pa.array(total[ends] - total[ends - size]), pa.array(own, pa.binary())], ["part", "rep", "n", "counted", "often"])
+        yield pa.RecordBatch.from_arrays([pa.array(_parts(reps.view(np.uint64), parts), pa.int32()), pa.array(reps), batch.column("n"), pa.array(total[ends] - total[ends - size]), pa.array(own, pa.binary()), batch.column("bits")], ["part", "rep", "n", "counted", "often", "bits"])
 
 
-def signatures_of(n: int, single: int, tokens: np.ndarray, counts: np.ndarray, percent: int = MIN_PERCENT) -> np.ndarray:
-    """Signatures of a set of n tokens.
+def signatures_of(n: int, single: int, tokens: np.ndarray, counts: np.ndarray, percent: int = MIN_PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of a set of n tokens, and whether it is the larger partner by them.
 
-    tokens, counts: its tokens in the global order, without the ``single`` first ones that no
-    other set has.
+    tokens, counts: its gathered tokens but for ``single`` counted ones that no other set has and
+    that so come first in any order.
     """
-    out = []
-    for classes in schemes(n, percent):
-        need = n - least_overlap(n, percent) + 1 - single
+    made, larger = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=bool)]
+    found = bands(n, percent)
+    prefixes = [(*x, True) for x in found] + [(*found[-1][:2], n - least_overlap(n, n, percent) + 1, False)]
+    late = tokens >= np.uint64(_CUT)
+    orders: dict[int, tuple] = {}
+    for band, scheme, needed, probing in prefixes:
+        need = needed - single
         if need <= 0 or not len(tokens):
             continue
-        rare = counts <= RARE
-        kind = np.where(rare, -1, (finished(tokens ^ _ODD[3]) % np.uint64(classes)).astype(np.int64))
-        first = np.zeros(len(tokens), dtype=bool)
-        first[np.unique(kind, return_index=True)[1]] = True
-        gain = np.cumsum(rare | ~first)
-        length = int(np.searchsorted(gain, need)) + 1
-        t, k, r, c = tokens[:length], kind[:length], rare[:length], counts[:length]
-        seed = np.uint64(classes * int(_ODD[1]) % 2**64)
-        out.append(finished(t[r & (c > 1)] ^ seed))
-        often, of = t[~r], k[~r]
+        if scheme not in orders:
+            _, classes, by_count = SCHEMES[scheme]
+            order = np.lexsort((tokens, counts)) if by_count else np.lexsort((tokens, np.where(late, 0, counts), late))
+            rare = counts[order] <= RARE
+            kind = np.where(rare, -1, (finished(tokens[order] ^ _ODD[3]) % np.uint64(classes)).astype(np.int64))
+            first = np.zeros(len(tokens), dtype=bool)
+            first[np.unique(kind, return_index=True)[1]] = True
+            orders[scheme] = tokens[order], counts[order], rare, kind, np.cumsum(rare | ~first)
+        token, count, rare, kind, gain = orders[scheme]
+        end = int(np.searchsorted(gain, need)) + 1
+        seed = np.uint64(band * int(_ODD[1]) % 2**64)
+        here = [finished(token[:end][rare[:end] & (count[:end] > 1)] ^ seed)]
+        often, of = token[:end][~rare[:end]], kind[:end][~rare[:end]]
         order = np.lexsort((often, of))
         often, of = often[order], of[order]
         for a, b in _runs(of):
             if b - a > 1:
                 x, y = np.triu_indices(b - a, 1)
-                out.append(finished(finished(often[a + x] ^ seed) * _ODD[0] + often[a + y]))
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, dtype=np.uint64)
+                here.append(finished(finished(often[a + x] ^ seed) * _ODD[0] + often[a + y]))
+        made += here
+        larger.append(np.full(sum(map(len, here)), probing))
+    return np.concatenate(made), np.concatenate(larger)
 
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -241,35 +292,29 @@ def _signed(percent: int, counted: pa.Table, described: pa.Table) -> pa.Table:
     tokens, _ = _joined(counted, "tokens")
     counts, _ = _joined(counted, "counts", np.int32)
     counts = counts.astype(np.int64)
-    late = tokens >= np.uint64(_CUT)
-    # The global order: counted tokens by count, those that are everywhere, then the others by hash.
-    order = np.lexsort((tokens, np.where(late, 0, counts), late, reps))
-    reps, tokens, counts, late = reps[order], tokens[order], counts[order], late[order]
+    order = np.argsort(reps, kind="stable")
+    reps, tokens, counts = reps[order], tokens[order], counts[order]
+    shared = np.r_[0, np.cumsum(tokens < np.uint64(_CUT))]
     made: list[np.ndarray] = []
+    larger: list[np.ndarray] = []
     owner: list[np.ndarray] = []
-    size: list[np.ndarray] = []
     ids, ns = np.asarray(described.column("rep")), np.asarray(described.column("n"))
     totals, often = np.asarray(described.column("counted")), described.column("often").to_pylist()
     starts, ends = np.searchsorted(reps, ids), np.searchsorted(reps, ids, side="right")
-    shared = np.r_[0, np.cumsum(~late)]
     single = totals - (shared[ends] - shared[starts])
-    for i in np.flatnonzero(single < ns - least_overlap(ns.astype(np.int64), percent) + 1).tolist():
-        a, b = starts[i], ends[i]
-        middle = a + int(shared[b] - shared[a])
-        own = np.sort(np.frombuffer(often[i], dtype=np.uint64))
-        before = own[own < np.uint64(_CUT)]
-        after = own[own >= np.uint64(_CUT)]
-        rest, rest_counts = tokens[middle:b], counts[middle:b]
-        if len(after):
-            rest, rest_counts = np.concatenate([rest, after]), np.concatenate([rest_counts, np.full(len(after), 1 << 40)])
-            turn = np.argsort(rest)
-            rest, rest_counts = rest[turn], rest_counts[turn]
-        s = signatures_of(int(ns[i]), int(single[i]), np.concatenate([tokens[a:middle], before, rest]), np.concatenate([counts[a:middle], np.full(len(before), 1 << 40), rest_counts]), percent)
+    longest = ns - (-(-percent * ns.astype(np.int64) // 100)) + 1
+    for i in np.flatnonzero(single < longest).tolist():
+        own = np.frombuffer(often[i], dtype=np.uint64)
+        some = slice(starts[i], ends[i])
+        s, probing = signatures_of(int(ns[i]), int(single[i]), np.concatenate([tokens[some], own]), np.concatenate([counts[some], np.full(len(own), 1 << 40)]), percent)
         made.append(s)
-        owner.append(np.full(len(s), ids[i]))
-        size.append(np.full(len(s), ns[i]))
+        larger.append(probing)
+        owner.append(np.full(len(s), i))
     join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-    return pa.table([pa.array(join(made, np.uint64).view(np.int64)), pa.array(join(owner, np.int64)), pa.array(join(size, np.int32).astype(np.int32))], names=["signature", "rep", "n"])
+    of = join(owner, np.int64)
+    own = described.select(["rep", "n", "bits"]).take(pa.array(of))
+    columns = [pa.array(join(made, np.uint64).view(np.int64)), own.column("rep"), own.column("n"), own.column("bits"), pa.array(join(larger, bool))]
+    return pa.table(columns, names=["signature", "rep", "n", "bits", "larger"])
 
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,35 +339,35 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, folder: str | N
     read = lambda name: spark.read.parquet(f"{folder}/{name}")
     docs.select("doc_id", "text").mapInArrow(functools.partial(_sets, percent), SETS).write.parquet(f"{folder}/sets")
     sets = read("sets")
-    sets.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("low").alias("low")).write.parquet(f"{folder}/reps")
+    sets.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("bits").alias("bits")).write.parquet(f"{folder}/reps")
     reps = read("reps")
     count, entries = reps.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("low") / 8), F.lit(0))).first()
     parts = max(MIN_GROUPS, int(entries) // GROUP_ENTRIES)
     # At most (mean tokens of a set / EVERYWHERE) tokens, whatever the number of sets.
     often = reps.select("low").mapInArrow(_everywhere, "token long, sets long").groupBy("token").agg(F.sum("sets").alias("sets")).where(F.col("sets") >= max(RARE + 1, EVERYWHERE * count))
     everywhere = np.sort(np.array([r["token"] for r in often.select("token").collect()], dtype=np.int64).view(np.uint64))
-    index = reps.select("rep", "low").mapInArrow(functools.partial(_index, everywhere, parts), "part int, tokens binary, reps binary")
+    index = reps.select("rep", "low").mapInArrow(functools.partial(_index, everywhere, parts), "part int, tokens binary, reps binary, runs binary")
     counted = index.groupBy("part").applyInArrow(lambda group: _counted(parts, group), "part int, reps binary, tokens binary, counts binary")
-    described = reps.select("rep", "n", "low").mapInArrow(functools.partial(_described, everywhere, parts), "part int, rep long, n int, counted long, often binary")
-    counted.groupBy("part").cogroup(described.groupBy("part")).applyInArrow(lambda one, two: _signed(percent, one, two), "signature long, rep long, n int").write.parquet(f"{folder}/signatures")
+    described = reps.select("rep", "n", "low", "bits").mapInArrow(functools.partial(_described, everywhere, parts), "part int, rep long, n int, counted long, often binary, bits array<long>")
+    counted.groupBy("part").cogroup(described.groupBy("part")).applyInArrow(lambda one, two: _signed(percent, one, two), "signature long, rep long, n int, bits array<long>, larger boolean").write.parquet(f"{folder}/signatures")
 
     signed = read("signatures")
-    first = signed.groupBy("signature").agg(F.min(F.struct("rep", "n")).alias("first"), F.count("*").alias("members")).where("members > 1")
-    first.select("signature", F.col("first.rep").alias("a"), F.col("first.n").alias("a_n")).write.parquet(f"{folder}/firsts")
-    similar = F.least("a_n", "n") * 100 >= F.greatest("a_n", "n") * percent
-    pairs = signed.join(read("firsts"), "signature").where((F.col("rep") != F.col("a")) & similar).select("a", F.col("rep").alias("b")).distinct()
+    first = signed.where("not larger").groupBy("signature").agg(F.min(F.struct("n", "rep", "bits")).alias("first"))
+    first.select("signature", F.col("first.rep").alias("a"), F.col("first.n").alias("a_n"), F.col("first.bits").alias("a_bits")).write.parquet(f"{folder}/firsts")
+    after = F.struct("n", "rep") > F.struct(F.col("a_n").alias("n"), F.col("a").alias("rep"))
+    pairs = signed.where("larger").join(read("firsts"), "signature").where(after & _may_link("a", "", percent)).select("a", F.col("rep").alias("b")).distinct()
     links = _verified(docs, pairs, percent, f"{folder}/round1")
     joined = components(links, f"{folder}/graph1")
     # Buckets whose other members aren't in one component by now: compare across components.
-    open_ = signed.join(read("firsts").select("signature", "a"), "signature").where("rep <> a").join(joined, F.col("rep") == F.col("node"), "left").select("signature", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    open_.write.parquet(f"{folder}/members")
-    mixed = read("members").groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("signature")
+    left = signed.join(read("firsts").select("signature", "a"), "signature").where("rep <> a").join(joined, F.col("rep") == F.col("node"), "left")
+    left.select("signature", "rep", "n", "bits", "larger", F.coalesce("component", "rep").alias("component")).write.parquet(f"{folder}/members")
+    mixed = read("members").groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.bool_or(~F.col("larger")).alias("some")).where("least <> most and some").select("signature")
     read("members").join(mixed, "signature", "left_semi").write.parquet(f"{folder}/open")
     if not read("open").isEmpty():
-        one = read("open")
-        two = one.select("signature", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("b_component"))
-        alike = F.least("b_n", "n") * 100 >= F.greatest("b_n", "n") * percent
-        across = one.join(two, "signature").where((F.col("rep") < F.col("b")) & (F.col("component") != F.col("b_component")) & alike).select(F.col("rep").alias("a"), "b").distinct()
+        one = read("open").where("not larger").drop("larger")
+        two = read("open").where("larger").select("signature", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"), F.col("component").alias("b_component"))
+        after = F.struct("b_n", "b") > F.struct(F.col("n").alias("b_n"), F.col("rep").alias("b"))
+        across = one.join(two, "signature").where(after & (F.col("component") != F.col("b_component")) & _may_link("", "b", percent)).select(F.col("rep").alias("a"), "b").distinct()
         links = links.unionByName(_verified(docs, across, percent, f"{folder}/round2"))
         joined = components(links, f"{folder}/graph2")
     classes = reps.select("key", "rep").join(joined, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component_id"))
@@ -334,6 +379,15 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, folder: str | N
     return read("result")
 
 
+def _may_link(small: str, large: str, percent: int) -> Column:
+    """Whether sizes and bitmaps allow a link; columns n and bits, with a prefix, of the smaller and the larger set."""
+    column = lambda side, name: F.col(f"{side}_{name}" if side else name)
+    a, b = column(small, "n"), column(large, "n")
+    differ = sum((F.bit_count(column(small, "bits")[i].bitwiseXOR(column(large, "bits")[i])) for i in range(BITS // 64)), F.lit(0))
+    overlap = F.ceil((a + b) * percent / F.lit(100.0 + percent) - 1e-9)
+    return (a * 100 >= b * percent) & (differ <= a + b - 2 * overlap)
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, percent: int, folder: str) -> DataFrame:
     """Those of the candidate pairs (a, b) whose full token sets are similar."""
     spark = docs.sparkSession
