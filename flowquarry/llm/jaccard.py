@@ -151,11 +151,11 @@ def parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _sets(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(percent: int, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = word_table()
     for batch in batches:
         for part in slices(batch):
-            sets = token_sets([x or "" for x in part.column("text").to_pylist()], table)
+            sets = token_sets([x or "" for x in part.column("text").to_pylist()], table, width)
             low = [gathered(x, percent).tobytes() for x in sets]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array(keys, pa.binary()), pa.array(low, pa.binary()), pa.array(list(map(parities, sets)), pa.list_(pa.int64()))], ["doc_id", "n", "key", "low", "bits"])
@@ -317,16 +317,16 @@ def _signed(percent: int, counted: pa.Table, described: pa.Table) -> pa.Table:
     return pa.table(columns, names=["signature", "rep", "n", "bits", "larger"])
 
 
-def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _full(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = word_table()
     for batch in batches:
         for part in slices(batch):
-            sets = token_sets(part.column("text").to_pylist(), table)
+            sets = token_sets(part.column("text").to_pylist(), table, width)
             yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["rep", "tokens"])
 
 
-def near_components(docs: DataFrame, percent: int = MIN_PERCENT, folder: str | None = None) -> DataFrame:
-    """Components of documents whose shingle sets have a Jaccard similarity of percent / 100.
+def near_components(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SHINGLE_WORDS, folder: str | None = None) -> DataFrame:
+    """Components of documents whose sets of ``width``-word shingles have a Jaccard similarity of percent / 100.
 
     Input: doc_id, text. Output, a row for each input row: doc_id, n_shingles, component_id
     (smallest doc_id reachable by links, itself included). Null and empty texts and texts
@@ -337,9 +337,11 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, folder: str | N
     spark = docs.sparkSession
     folder = folder or shared_folder(spark)
     read = lambda name: spark.read.parquet(f"{folder}/{name}")
-    docs.select("doc_id", "text").mapInArrow(functools.partial(_sets, percent), SETS).write.parquet(f"{folder}/sets")
+    docs.select("doc_id", "text").mapInArrow(functools.partial(_sets, percent, width), SETS).write.parquet(f"{folder}/sets")
     sets = read("sets")
     sets.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("bits").alias("bits")).write.parquet(f"{folder}/reps")
+    sets.select("doc_id", "n", "key").write.parquet(f"{folder}/keys")
+    dropped(spark, f"{folder}/sets")
     reps = read("reps")
     count, entries = reps.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("low") / 8), F.lit(0))).first()
     parts = max(MIN_GROUPS, int(entries) // GROUP_ENTRIES)
@@ -356,7 +358,7 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, folder: str | N
     first.select("signature", F.col("first.rep").alias("a"), F.col("first.n").alias("a_n"), F.col("first.bits").alias("a_bits")).write.parquet(f"{folder}/firsts")
     after = F.struct("n", "rep") > F.struct(F.col("a_n").alias("n"), F.col("a").alias("rep"))
     pairs = signed.where("larger").join(read("firsts"), "signature").where(after & _may_link("a", "", percent)).select("a", F.col("rep").alias("b")).distinct()
-    links = _verified(docs, pairs, percent, f"{folder}/round1")
+    links = _verified(docs, pairs, percent, width, f"{folder}/round1")
     joined = components(links, f"{folder}/graph1")
     # Buckets whose other members aren't in one component by now: compare across components.
     left = signed.join(read("firsts").select("signature", "a"), "signature").where("rep <> a").join(joined, F.col("rep") == F.col("node"), "left")
@@ -368,17 +370,30 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, folder: str | N
         two = read("open").where("larger").select("signature", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"), F.col("component").alias("b_component"))
         after = F.struct("b_n", "b") > F.struct(F.col("n").alias("b_n"), F.col("rep").alias("b"))
         across = one.join(two, "signature").where(after & (F.col("component") != F.col("b_component")) & _may_link("", "b", percent)).select(F.col("rep").alias("a"), "b").distinct()
-        links = links.unionByName(_verified(docs, across, percent, f"{folder}/round2"))
+        links = links.unionByName(_verified(docs, across, percent, width, f"{folder}/round2"))
         joined = components(links, f"{folder}/graph2")
     classes = reps.select("key", "rep").join(joined, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component_id"))
     classes.write.parquet(f"{folder}/classes")
-    own = sets.select("doc_id", "n", "key").join(read("classes"), "key", "left")
+    own = read("keys").join(read("classes"), "key", "left")
     own.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")).write.parquet(f"{folder}/result")
-    for name in ("sets", "reps", "signatures", "firsts", "members", "open", "round1", "round2", "graph1", "graph2", "classes"):
+    for name in ("keys", "reps", "signatures", "firsts", "members", "open", "round1", "round2", "graph1", "graph2", "classes"):
         dropped(spark, f"{folder}/{name}")
     return read("result")
 
 
+def first_of_groups(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
+    """docs without the documents that have a component's smaller doc_id before them; all columns stay.
+
+    Documents without a word and rows with a null doc_id stay. Of rows with one doc_id, one stays.
+    """
+    found = near_components(docs, percent, width)
+    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
+    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    kept = docs.join(gone, "doc_id", "left_anti")
+    once = kept.join(again, "doc_id", "left_anti")
+    return once.unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+
+
 def _may_link(small: str, large: str, percent: int) -> Column:
     """Whether sizes and bitmaps allow a link; columns n and bits, with a prefix, of the smaller and the larger set."""
     column = lambda side, name: F.col(f"{side}_{name}" if side else name)
@@ -388,14 +403,14 @@ def _may_link(small: str, large: str, percent: int) -> Column:
     return (a * 100 >= b * percent) & (differ <= a + b - 2 * overlap)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, percent: int, folder: str) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, percent: int, width: int, folder: str) -> DataFrame:
     """Those of the candidate pairs (a, b) whose full token sets are similar."""
     spark = docs.sparkSession
     pairs.write.parquet(f"{folder}/pairs")
     pairs = spark.read.parquet(f"{folder}/pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts.mapInArrow(_full, "rep long, tokens array<long>").write.parquet(f"{folder}/full")
+    texts.mapInArrow(functools.partial(_full, width), "rep long, tokens array<long>").write.parquet(f"{folder}/full")
     full = spark.read.parquet(f"{folder}/full")
     left = full.select(F.col("rep").alias("a"), F.col("tokens").alias("a_tokens"))
     right = full.select(F.col("rep").alias("b"), F.col("tokens").alias("b_tokens"))
