@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowquarry.llm import langid, packing, quality
+from flowquarry.llm import jaccard, langid, packing, quality
 from flowquarry.llm.common import shared_folder
 from flowquarry.llm.queries import PIECE_MODEL, WORD_MODEL, vocabulary_path
 
 #: Documents whose language is less certain than this go, as do those without a letter.
 MIN_LANGUAGE_SCORE = 0.5
+#: Near-duplicates share this many percent of their shingles of so many words.
+NEAR_PERCENT, NEAR_WORDS = 80, 5
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,6 +29,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judge(docs, quality.train(docs, labels), carry=True).where("kept").select("row.*")
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest doc_id."""
+    return jaccard.first_of_groups(docs, NEAR_PERCENT, NEAR_WORDS)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences."""
     return packing.pack_documents(docs, vocabulary_path(WORD_MODEL))
@@ -35,6 +42,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language ID", language_stage),
     ("quality rules", quality_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
     ("packing", packing_stage),
 ]
 
