@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Characters of text that one step of an Arrow function handles at a time.
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -82,7 +82,7 @@ class WordTable:
     ``cap`` words, so its memory is bounded; results don't depend on that.
     """
 
-    def __init__(self, fill: Callable[[list[str]], list[np.ndarray]], cap: int = 400_000):
+    def __init__(self, fill: Callable[[list[str]], list[np.ndarray]], cap: int = 300_000):
         self.fill, self.cap = fill, cap
         self.ids: dict[str, int] = {}
         self.values: list[np.ndarray] = []

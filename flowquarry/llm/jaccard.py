@@ -52,7 +52,9 @@ SMALL = 512
 #: A band's sizes lie within this share of its largest.
 BAND = 0.92
 #: Entries that one index group holds on average, and the least number of groups.
-GROUP_ENTRIES, MIN_GROUPS = 2_000_000, 32
+GROUP_ENTRIES, MIN_GROUPS = 1_000_000, 32
+#: Bytes of token sets that one step of an Arrow function handles.
+SLICE_BYTES = 6_000_000
 _CUT = int(COUNTED * 2**64)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 SETS = "doc_id long, n int, key binary, low binary, bits array<long>"
@@ -168,10 +170,15 @@ def _joined(batch: pa.RecordBatch | pa.Table, column: str, kind: type = np.uint6
     return np.frombuffer(b"".join(values.to_pylist()), dtype=kind), size
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from slices(batch, "low", SLICE_BYTES)
+
+
 def _everywhere(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tokens in a good share of a task's sets, with their number of sets there."""
     found, sets = [], 0
-    for batch in batches:
+    for batch in _cut(batches):
         tokens, _ = _joined(batch, "low")
         sets += batch.num_rows
         token, count = np.unique(tokens, return_counts=True)
@@ -193,13 +200,13 @@ def _dealt(part: np.ndarray, columns: list[np.ndarray], names: list[str]) -> Ite
     order = np.argsort(part, kind="stable")
     part = part[order]
     starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, int)
-    ends = np.r_[starts[1:], len(part)]
+    ends = np.r_[starts[1:], len(part)] if len(part) else starts
     rows = [[c[order[a:b]].tobytes() for a, b in zip(starts, ends, strict=True)] for c in columns]
     yield pa.RecordBatch.from_arrays([pa.array(part[starts], pa.int32()), *(pa.array(r, pa.binary()) for r in rows)], ["part", *names])
 
 
 def _index(everywhere: np.ndarray, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _cut(batches):
         tokens, size = _joined(batch, "low")
         reps = np.repeat(np.asarray(batch.column("rep")), size)
         gathered = ~np.isin(tokens, everywhere)
@@ -231,7 +238,7 @@ def _counted(parts: int, group: pa.Table) -> pa.Table:
 
 def _described(everywhere: np.ndarray, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each set's size, its number of gathered tokens in the counted range, and its tokens that are everywhere."""
-    for batch in batches:
+    for batch in _cut(batches):
         tokens, size = _joined(batch, "low")
         ends = np.cumsum(size)
         counted, often = tokens < np.uint64(_CUT), np.isin(tokens, everywhere)
