@@ -110,5 +110,5 @@ def column_sizes(spark: SparkSession, paths: list[str]) -> DataFrame:
 def readable_size(size: Column) -> Column:
     """A size in bytes as text with a binary unit."""
     units = ["B", "KiB", "MiB", "GiB", "TiB", "PiB"]
-    step = F.least(F.lit(len(units) - 1), F.floor(F.log(F.lit(1024.0), F.greatest(size, F.lit(1))))).cast("int")
+    step = F.least(F.lit(len(units) - 1), F.floor(F.log(1024.0, F.greatest(size, F.lit(1))))).cast("int")
     return F.concat(F.format_number(size / F.pow(F.lit(1024.0), step), 2), F.lit(" "), F.element_at(F.array(*[F.lit(u) for u in units]), step + 1))
