@@ -102,6 +102,8 @@ def opened(tag: str, attributes: str, parent: Box | None) -> Box:
     if boiler:
         box.evidence += BOILER if not box.boiler or tag == "form" else BOILER // 2
         box.boiler = True
+    elif tag == "main":  # the page itself says what its content is, whatever frame it stands in
+        box.evidence, box.content, box.boiler = CONTENT, True, False
     elif content and not box.content:
         # A form around a whole page's content is part of the frame, not of the content.
         box.evidence += CONTENT - (BOILER if _only_form(parent) else 0)

@@ -17,6 +17,11 @@ def test_article_alone_remains():
     assert maintext.main_text(PAGE).split("\n") == ["The title", "First paragraph of the story is long enough to count, it is & it goes on.", "Short one.", "Another bolditalic text <tag> with words.", "Quoted text here."]
 
 
+def test_main_stands_against_its_frame():
+    page = '<body><div class="layout-sidebar"><main><p>The content of this page, long enough to be a paragraph of it.</p><div class="share">Share this</div></main><div class="sidebar"><p>Some other words that nobody came here for at all.</p></div></div>'
+    assert maintext.main_text(page) == "The content of this page, long enough to be a paragraph of it."
+
+
 def test_cut_is_of_least_cost():
     rnd = random.Random(3)
     for _ in range(800):
