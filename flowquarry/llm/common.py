@@ -42,6 +42,17 @@ def dropped(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(df: DataFrame) -> None:
+    """Have Spark send texts to Python in batches of a thousand rows, unless the session says otherwise.
+
+    Its default of ten thousand rows is made for numbers; of texts it is tens of megabytes a batch,
+    several times over in each worker.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(key) == "10000":
+        df.sparkSession.conf.set(key, "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -82,7 +93,7 @@ class WordTable:
     ``cap`` words, so its memory is bounded; results don't depend on that.
     """
 
-    def __init__(self, fill: Callable[[list[str]], list[np.ndarray]], cap: int = 300_000):
+    def __init__(self, fill: Callable[[list[str]], list[np.ndarray]], cap: int = 250_000):
         self.fill, self.cap = fill, cap
         self.ids: dict[str, int] = {}
         self.values: list[np.ndarray] = []

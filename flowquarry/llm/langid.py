@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordTable, carrying, slices, sums, with_text
+from .common import WordTable, carrying, slices, small_batches, sums, with_text
 
 #: Bounds of what the model is fitted on: documents and distinct words of each language.
 TRAIN_DOCS, TRAIN_WORDS = 2000, 20_000
@@ -211,6 +211,7 @@ def predict(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
                 columns = [part.column("doc_id").cast(pa.int64()), part.column("held_out"), pa.array(lang, pa.string()), pa.array(score, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns + ([part.column("row")] if carry else []), ["doc_id", "held_out", "lang_pred", "score"] + (["row"] if carry else []))
 
+    small_batches(docs)
     fold = docs["doc_id"], held_out(docs["doc_id"]).alias("held_out")
     if carry:
         rows, schema = carrying(docs, SCHEMA, *fold)

@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import slices, small_batches
 
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
@@ -337,4 +337,5 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                 texts = [main_text(x) if x else "" for x in part.column("html").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("page_id").cast(pa.int64()), part.column("url").cast(pa.string()), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
+    small_batches(pages)
     return pages.select("page_id", "url", "html").mapInArrow(run, SCHEMA)

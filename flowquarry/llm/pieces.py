@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import slices, small_batches
 
 SPACE = "▁"
 #: Chunks kept with their ids, half of them the older half; longer ones are always encoded anew.
@@ -210,4 +210,5 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
                 n, ids, decoded = map(list, zip(*made, strict=True))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    small_batches(docs)
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, carrying, slices, sums, with_text
+from .common import WordTable, carrying, slices, small_batches, sums, with_text
 
 #: Bound of the labelled rows that the classifier is fitted on.
 TRAIN_ROWS = 2000
@@ -235,6 +235,7 @@ def judge(docs: DataFrame, model: Classifier, carry: bool = False) -> DataFrame:
                 columns = [part.column("doc_id").cast(pa.int64()), *(pa.array(x, pa.int64()) for x in (n, chars[:, 0], chars[:, 1], list(map(duplicate_lines, texts)), again)), pa.array(failed), pa.array(~failed & (probability >= MIN_PROBABILITY)), pa.array(probability)]
                 yield pa.RecordBatch.from_arrays(columns + ([part.column("row")] if carry else []), [x.split()[0] for x in SCHEMA.split(", ")] + (["row"] if carry else []))
 
+    small_batches(docs)
     if carry:
         rows, schema = carrying(docs, SCHEMA, docs["doc_id"])
         return rows.mapInArrow(run, schema)
