@@ -33,10 +33,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordTable, dropped, shared_folder, slices
+from .common import WordTable, dropped, shared_folder, slices, small_batches
 from .graphs import components
 
 SHINGLE_WORDS, MIN_PERCENT = 4, 85
@@ -51,15 +51,19 @@ SCHEMES = ((1, 1, True), (32, 16, True), (512, 16, False), (1024, 64, False), (8
 SMALL = 512
 #: A band's sizes lie within this share of its largest.
 BAND = 0.92
+#: Components of a bucket whose first member all others meet before members meet each other.
+PIVOTS = 8
 #: Entries that one index group holds on average, and the least number of groups.
 GROUP_ENTRIES, MIN_GROUPS = 1_000_000, 32
+#: Ids of dropped documents that may be broadcast.
+BROADCAST_IDS = 4_000_000
 #: Bytes of token sets that one step of an Arrow function handles.
 SLICE_BYTES = 6_000_000
 _CUT = int(COUNTED * 2**64)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 SETS = "doc_id long, n int, key binary, low binary, bits array<long>"
-#: Bits of a set's parity bitmap.
-BITS = 256
+#: Bits of a set's parity bitmap, and of the one folded from it for the first comparison.
+BITS, FOLDED = 1024, 256
 
 
 def finished(x: np.ndarray) -> np.ndarray:
@@ -81,7 +85,7 @@ def _word_hashes(words: list[bytes]) -> list[np.ndarray]:
 
 
 def word_table() -> WordTable:
-    return WordTable(_word_hashes)
+    return WordTable(_word_hashes, 120_000)
 
 
 def token_sets(texts: list[str], table: WordTable, width: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -153,6 +157,13 @@ def parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def folded(bits: pa.Array) -> pa.Array:
+    """Bitmaps of FOLDED bits: bits that meet in one are added up."""
+    whole = np.asarray(bits.flatten()).reshape(len(bits), BITS // FOLDED, FOLDED // 64)
+    small = np.bitwise_xor.reduce(whole, axis=1)
+    return pa.FixedSizeListArray.from_arrays(pa.array(small.ravel()), FOLDED // 64).cast(pa.list_(pa.int64()))
+
+
 def _sets(percent: int, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = word_table()
     for batch in batches:
@@ -245,7 +256,7 @@ def _described(everywhere: np.ndarray, parts: int, batches: Iterator[pa.RecordBa
         total = np.r_[0, np.cumsum(counted & ~often)]
         own = [tokens[a:b][often[a:b]].tobytes() for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True)]
         reps = np.asarray(batch.column("rep"))
-        yield pa.RecordBatch.from_arrays([pa.array(_parts(reps.view(np.uint64), parts), pa.int32()), pa.array(reps), batch.column("n"), pa.array(total[ends] - total[ends - size]), pa.array(own, pa.binary()), batch.column("bits")], ["part", "rep", "n", "counted", "often", "bits"])
+        yield pa.RecordBatch.from_arrays([pa.array(_parts(reps.view(np.uint64), parts), pa.int32()), pa.array(reps), batch.column("n"), pa.array(total[ends] - total[ends - size]), pa.array(own, pa.binary()), folded(batch.column("bits"))], ["part", "rep", "n", "counted", "often", "bits"])
 
 
 def signatures_of(n: int, single: int, tokens: np.ndarray, counts: np.ndarray, percent: int = MIN_PERCENT) -> tuple[np.ndarray, np.ndarray]:
@@ -341,6 +352,7 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SH
     is one shingle. Repeated rows have one component. A null doc_id links with nothing and has
     a null component. Other columns are ignored; an empty table gives an empty result.
     """
+    small_batches(docs)
     spark = docs.sparkSession
     folder = folder or shared_folder(spark)
     read = lambda name: spark.read.parquet(f"{folder}/{name}")
@@ -364,26 +376,36 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SH
     first = signed.where("not larger").groupBy("signature").agg(F.min(F.struct("n", "rep", "bits")).alias("first"))
     first.select("signature", F.col("first.rep").alias("a"), F.col("first.n").alias("a_n"), F.col("first.bits").alias("a_bits")).write.parquet(f"{folder}/firsts")
     after = F.struct("n", "rep") > F.struct(F.col("a_n").alias("n"), F.col("a").alias("rep"))
-    pairs = signed.where("larger").join(read("firsts"), "signature").where(after & _may_link("a", "", percent)).select("a", F.col("rep").alias("b")).distinct()
+    pairs = signed.where("larger").join(read("firsts"), "signature").where(after & _may_link("a", "", percent, FOLDED)).select("a", F.col("rep").alias("b")).distinct()
     links = _verified(docs, pairs, percent, width, f"{folder}/round1")
     joined = components(links, f"{folder}/graph1")
-    # Buckets whose other members aren't in one component by now: compare across components.
-    left = signed.join(read("firsts").select("signature", "a"), "signature").where("rep <> a").join(joined, F.col("rep") == F.col("node"), "left")
-    left.select("signature", "rep", "n", "bits", "larger", F.coalesce("component", "rep").alias("component")).write.parquet(f"{folder}/members")
-    mixed = read("members").groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.bool_or(~F.col("larger")).alias("some")).where("least <> most and some").select("signature")
-    read("members").join(mixed, "signature", "left_semi").write.parquet(f"{folder}/open")
-    if not read("open").isEmpty():
-        one = read("open").where("not larger").drop("larger")
-        two = read("open").where("larger").select("signature", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"), F.col("component").alias("b_component"))
+    # Buckets whose other members aren't in one component by now. First members meet the first of
+    # each other component, which mostly makes one component of them; then whoever is still apart.
+    fine = reps.select("rep", F.col("bits").alias("fine"))
+    left = signed.drop("bits").join(read("firsts").select("signature", "a"), "signature").where("rep <> a").drop("a")
+    left.write.parquet(f"{folder}/members")
+    for turn in (2, 3):
+        own = read("members").join(joined, F.col("rep") == F.col("node"), "left").select("signature", "rep", "n", "larger", F.coalesce("component", "rep").alias("component"))
+        mixed = own.groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.bool_or(~F.col("larger")).alias("some")).where("least <> most and some").select("signature")
+        own.join(mixed, "signature", "left_semi").join(fine, "rep").withColumnRenamed("fine", "bits").write.parquet(f"{folder}/open{turn}")
+        open_ = read(f"open{turn}")
+        if open_.isEmpty():
+            break
+        one = open_.where("not larger").select("signature", "rep", "n", "bits", "component")
+        if turn == 2:
+            each = one.groupBy("signature", "component").agg(F.min(F.struct("n", "rep", "bits")).alias("x")).select("signature", "component", "x.*")
+            place = F.row_number().over(Window.partitionBy("signature").orderBy("n", "rep"))
+            one = each.withColumn("place", place).where(F.col("place") <= PIVOTS).drop("place")
+        two = open_.where("larger").select("signature", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"), F.col("component").alias("b_component"))
         after = F.struct("b_n", "b") > F.struct(F.col("n").alias("b_n"), F.col("rep").alias("b"))
-        across = one.join(two, "signature").where(after & (F.col("component") != F.col("b_component")) & _may_link("", "b", percent)).select(F.col("rep").alias("a"), "b").distinct()
-        links = links.unionByName(_verified(docs, across, percent, width, f"{folder}/round2"))
-        joined = components(links, f"{folder}/graph2")
+        across = one.join(two, "signature").where(after & (F.col("component") != F.col("b_component")) & _may_link("", "b", percent, BITS)).select(F.col("rep").alias("a"), "b").distinct()
+        links = links.unionByName(_verified(docs, across, percent, width, f"{folder}/round{turn}"))
+        joined = components(links, f"{folder}/graph{turn}")
     classes = reps.select("key", "rep").join(joined, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component_id"))
     classes.write.parquet(f"{folder}/classes")
     own = read("keys").join(read("classes"), "key", "left")
     own.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")).write.parquet(f"{folder}/result")
-    for name in ("keys", "reps", "signatures", "firsts", "members", "open", "round1", "round2", "graph1", "graph2", "classes"):
+    for name in ("keys", "reps", "signatures", "firsts", "members", "open2", "open3", "round1", "round2", "round3", "graph1", "graph2", "graph3", "classes"):
         dropped(spark, f"{folder}/{name}")
     return read("result")
 
@@ -396,16 +418,20 @@ def first_of_groups(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SH
     found = near_components(docs, percent, width)
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
     again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    once = kept.join(again, "doc_id", "left_anti")
-    return once.unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    # Ids are broadcast up to a counted bound, so that texts stay where they are; beyond it both sides are shuffled.
+    near = lambda ids: F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+    kept = docs.join(near(gone), "doc_id", "left_anti")
+    if not again.isEmpty():
+        again = near(again)
+        kept = kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return kept.select(*docs.columns)
 
 
-def _may_link(small: str, large: str, percent: int) -> Column:
+def _may_link(small: str, large: str, percent: int, bits: int) -> Column:
     """Whether sizes and bitmaps allow a link; columns n and bits, with a prefix, of the smaller and the larger set."""
     column = lambda side, name: F.col(f"{side}_{name}" if side else name)
     a, b = column(small, "n"), column(large, "n")
-    differ = sum((F.bit_count(column(small, "bits")[i].bitwiseXOR(column(large, "bits")[i])) for i in range(BITS // 64)), F.lit(0))
+    differ = sum((F.bit_count(column(small, "bits")[i].bitwiseXOR(column(large, "bits")[i])) for i in range(bits // 64)), F.lit(0))
     overlap = F.ceil((a + b) * percent / F.lit(100.0 + percent) - 1e-9)
     return (a * 100 >= b * percent) & (differ <= a + b - 2 * overlap)
 
