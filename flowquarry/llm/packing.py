@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
+import operator
 import re
 import zlib
 from collections.abc import Iterator
@@ -21,14 +23,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import slices, small_batches
 
 CAPACITY = 2048
 #: Windows in a group: the unit of differencing. Memory of a task is bounded by it.
 GROUP_WINDOWS = 128
 END_ID = 1
 #: Words kept with their ids, half of them the older half.
-CACHE, CACHE_CHARS, RUNS = 1_000_000, 48, 600_000
+CACHE, CACHE_CHARS, RUNS = 800_000, 48, 500_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -145,18 +147,24 @@ class WordIds:
         self.model = self.tokenizer.model
         other = [b for b in range(256) if b not in set(self._KEPT)]
         self.signs = {b: chr(b) for b in self._KEPT} | {b: chr(256 + i) for i, b in enumerate(other)}
-        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        # Added tokens that could lie in a word of that form; of others none can.
+        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values() if self._RUNS.fullmatch(t.content))
         self.cache: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {"": b""}
+        self.older_runs: dict[str, bytes] = {}
 
     def _run(self, run: str) -> bytes:
         ids = self.runs.get(run)
         if ids is None:
+            ids = self.older_runs.get(run)
+            if ids is not None:
+                self.runs[run] = ids
+                return ids
             signs = run if run.isascii() else "".join([self.signs[b] for b in run.encode()])
             ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(signs)])
-            if len(self.runs) >= RUNS:
-                self.runs = {"": b""}
+            if len(self.runs) >= RUNS // 2:
+                self.runs, self.older_runs = {"": b""}, self.runs
             self.runs[run] = ids
         return ids
 
@@ -166,13 +174,16 @@ class WordIds:
         get = self.cache.get
         lists = [x.replace("\n", " ").split(" ") for x in texts]
         found = [list(map(get, words)) for words in lists]
-        missing = {w for words, got in zip(lists, found, strict=True) if None in got for w, x in zip(words, got, strict=True) if x is None}
+        missing: set[str] = set()
+        for words, got in zip(lists, found, strict=True):
+            missing.update(itertools.compress(words, map(operator.is_, got, itertools.repeat(None))))
         made, whole, split = {}, [], self._RUNS.fullmatch
         for w in missing:
             if w in self.older:
                 made[w] = self.older[w]
-            elif len(w) <= CACHE_CHARS and (m := split(w)) and not any(x in w for x in self.special):
-                made[w] = self._run(m[1].lower()) + self._run(m[2])
+            elif len(w) <= CACHE_CHARS and (m := split(w)) and not (self.special and any(x in w for x in self.special)):
+                letters, signs = m.groups()
+                made[w] = self._run(letters.lower()) + (self._run(signs) if signs else b"")
             else:
                 whole.append(w)
         for word, x in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
@@ -276,4 +287,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, gr
         if rows := list(packer.close()):
             yield batch_of(rows)
 
+    small_batches(docs)
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
