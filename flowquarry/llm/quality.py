@@ -23,6 +23,8 @@ from .common import WordTable, carrying, slices, small_batches, sums, with_text
 TRAIN_ROWS = 2000
 BUCKETS = 1 << 18
 GRAMS = (2, 3, 4)
+#: Characters whose n-grams are made at a time. A longer word is read in chunks of so many.
+CHUNK_CHARS = 100_000
 ROUNDS, PENALTY = 60, 1e-4
 #: Every this many-th row of the sample is left out of the fit and calibrates its scores.
 CALIBRATE_EVERY = 4
@@ -87,14 +89,42 @@ def repeated(ids: np.ndarray, bounds: np.ndarray, width: int = WINDOW) -> np.nda
     return sums((np.cumsum(cover)[:n] > 0).astype(np.int64), bounds)
 
 
+def own_bucket(word: str) -> int:
+    return zlib.crc32(b"w" + word.encode()) % BUCKETS
+
+
+def grams_of(raw: str, starts: int) -> list[int]:
+    """Buckets of the character n-grams that begin at the first ``starts`` characters."""
+    return [zlib.crc32(raw[i : i + n].encode()) % BUCKETS for n in GRAMS for i in range(min(starts, len(raw) - n + 1))]
+
+
 def features(word: str) -> list[int]:
     """Buckets of a word: the word itself first, then its character n-grams."""
-    raw = f"<{word[:64]}>"
-    out = [zlib.crc32(b"w" + word.encode()) % BUCKETS]
-    out += [zlib.crc32(raw[i : i + n].encode()) % BUCKETS for n in GRAMS for i in range(len(raw) - n + 1)]
+    raw = f"<{word}>"
+    return [own_bucket(word), *grams_of(raw, len(raw))]
+
+
+def gram_counts(word: str) -> np.ndarray:
+    """How often each bucket stands among a long word's n-grams: totals over chunks that overlap."""
+    raw, out = f"<{word}>", np.zeros(BUCKETS, dtype=np.int64)
+    for i in range(0, len(raw), CHUNK_CHARS):
+        part = grams_of(raw[i : i + CHUNK_CHARS + max(GRAMS) - 1], CHUNK_CHARS)
+        out += np.bincount(np.array(part, dtype=np.int64), minlength=BUCKETS)
     return out
 
 
+def groups(words: list[str]) -> Iterator[tuple[int, int]]:
+    """Bounds of groups of at most CHUNK_CHARS characters; a longer word is a group by itself."""
+    start = held = 0
+    for i, word in enumerate(words):
+        if i > start and held + len(word) > CHUNK_CHARS:
+            yield start, i
+            start, held = i, 0
+        held += len(word)
+    if start < len(words):
+        yield start, len(words)
+
+
 @dataclass
 class Classifier:
     """Weights by bucket, intercept, and the calibration line from score to log-odds."""
@@ -106,7 +136,14 @@ class Classifier:
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """A word's share: its own weight plus the mean weight of its n-grams."""
-        return _shares([features(w) for w in words], self.weights)
+        out = np.empty(len(words))
+        for start, stop in groups(words):
+            if len(words[start]) > CHUNK_CHARS:
+                counts = gram_counts(words[start])
+                out[start] = self.weights[own_bucket(words[start])] + self.weights @ counts / counts.sum()
+            else:
+                out[start:stop] = _shares([features(w) for w in words[start:stop]], self.weights)
+        return out
 
     def probability(self, mean_share: np.ndarray) -> np.ndarray:
         odds = self.slope * (mean_share + self.intercept) + self.shift
@@ -136,15 +173,23 @@ def fit(rows: list[tuple[dict[str, int], int]]) -> Classifier:
     word = np.fromiter((number[w] for c, _ in rows for w in c), dtype=np.int64, count=len(doc))
     use = np.fromiter((n / total for c, _ in rows for total in [sum(c.values())] for n in c.values()), dtype=np.float64, count=len(doc))
     size = np.empty(len(names), dtype=np.int64)
-    chunks = []
-    for i in range(0, len(names), 10_000):  # bounded memory: buckets as 32-bit numbers
-        lists = [features(w) for w in names[i : i + 10_000]]
-        size[i : i + len(lists)] = [len(x) for x in lists]
+    chunks, weights = [], []
+    for start, stop in groups(names):  # bounded memory: buckets as 32-bit numbers
+        if len(names[start]) > CHUNK_CHARS:
+            counts = gram_counts(names[start])
+            some = np.flatnonzero(counts)
+            size[start] = 1 + len(some)
+            chunks.append(np.concatenate([[own_bucket(names[start])], some]).astype(np.int32))
+            weights.append(np.concatenate([[1.0], counts[some] / counts.sum()]).astype(np.float32))
+            continue
+        lists = [features(w) for w in names[start:stop]]
+        n = size[start:stop] = np.array([len(x) for x in lists])
         chunks.append(np.fromiter((y for x in lists for y in x), dtype=np.int32))
-    bucket = np.concatenate(chunks)
+        part = np.repeat((1.0 / np.maximum(n - 1, 1)).astype(np.float32), n)
+        part[np.cumsum(n) - n] = 1.0
+        weights.append(part)
+    bucket, weight = np.concatenate(chunks), np.concatenate(weights)
     of = np.repeat(np.arange(len(names), dtype=np.int32), size)
-    weight = np.repeat((1.0 / np.maximum(size - 1, 1)).astype(np.float32), size)
-    weight[np.concatenate([[0], np.cumsum(size)[:-1]])] = 1.0
     held = np.arange(len(rows)) % CALIBRATE_EVERY == 0
     train = ~held if 0 < labels[held].mean() < 1 and 0 < labels[~held].mean() < 1 else np.ones(len(rows), bool)
     balance = np.where(labels == 1, 0.5 / max(labels[train].mean(), 1e-9), 0.5 / max(1 - labels[train].mean(), 1e-9)) * train / train.sum()

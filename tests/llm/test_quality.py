@@ -56,3 +56,30 @@ def test_edge_rows(edge_docs, empty_docs):
     assert got == {r.doc_id: brute(r.text)[0] for r in edge_docs.collect()}
     assert quality.judge(empty_docs, model).count() == 0
     assert quality.judge(edge_docs, model, carry=True).select("row.*").columns == edge_docs.columns
+
+
+def test_long_words_count_to_their_end(spark):
+    rnd = random.Random(9)
+    weights = np.array([rnd.uniform(-1, 1) for _ in range(quality.BUCKETS)])
+    model = quality.Classifier(weights, 0.0, 1.0, 0.0)
+    head = "".join(chr(rnd.randint(0x4E00, 0x4FFF)) for _ in range(64))
+    own = lambda w: weights[quality.zlib.crc32(b"w" + w.encode()) % quality.BUCKETS]
+    one, two = head + "好" * 200, head + "bad" * 200
+    a, b = model.word_scores([one, two])
+    assert abs((a - own(one)) - (b - own(two))) > 0.01  # the n-grams differ, not only the whole word
+    for n in (65, 99_999, 100_000, 100_001, 250_003):  # chunks lose and repeat no n-gram
+        word = "".join(rnd.choices("abcdefgh好", k=n))
+        raw = f"<{word}>"
+        grams = [raw[i : i + k] for k in quality.GRAMS for i in range(len(raw) - k + 1)]
+        mean = sum(weights[quality.zlib.crc32(x.encode()) % quality.BUCKETS] for x in grams) / len(grams)
+        assert abs(model.word_scores(["short", word, "words"])[1] - own(word) - mean) < 1e-9
+
+
+def test_training_reads_long_words_to_their_end():
+    rnd = random.Random(10)
+    for length in (200, 110_000):
+        head = "".join(rnd.choices("abcdef", k=64))
+        made = lambda y: head + "".join(rnd.choices("uvw" if y else "xyz", k=length))  # noqa: B023, E731
+        model = quality.fit([({made(i % 3 > 0): 1}, int(i % 3 > 0)) for i in range(24)])
+        good, bad = model.probability(model.word_scores([made(1), made(0)]))
+        assert good > 0.5 > bad
