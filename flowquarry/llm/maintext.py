@@ -24,9 +24,12 @@ from .common import slices, small_batches
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav noscript ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split())
-#: Elements whose content is no text of the page.
-RAW = frozenset("script style template title textarea iframe noframes object svg math video audio canvas xmp".split())
-SPACE = frozenset("br wbr img input".split())
+#: Elements whose content is no text of the page; one that is never closed lasts to the page's end, as in HTML.
+RAW = frozenset("script style template title textarea iframe noframes xmp".split())
+#: Ordinary elements, text inside them included, that part words.
+SPACE = frozenset("br wbr img input object svg math video audio canvas".split())
+#: Inside these no element is raw text; an HTML block ends them.
+FOREIGN = frozenset("svg math".split())
 CLOSES_P = BLOCK - {"button", "label", "noscript", "option", "optgroup", "legend", "caption"}
 #: An opening tag ends an open element of these kinds if it is the innermost block.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"td", "th", "tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -46,6 +49,7 @@ BOILER, CONTENT, FAINT = -100, 40, -10
 BESIDE, NEXT, NEAR, ACROSS = 12, 4, 6, 2
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_LEAVES = re.compile(rf"<(?:{'|'.join(sorted(BLOCK))}|/(?:{'|'.join(sorted(FOREIGN))}))(?=[\s/>])", re.I)
 _NAMED = re.compile(r"""\b(class|id|role|itemprop|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 _LEGAL = re.compile(r"©|\bcopyright\b|\ball rights reserved\b|\bcookies?\b|\bprivacy policy\b", re.I)
@@ -126,7 +130,7 @@ def _only_form(box: Box | None) -> bool:
 def blocks_of(page: str) -> list[Block]:
     """Blocks with text, in page order. Copes with elements that are never closed, or closed twice."""
     root = Box("", None)
-    top, link, out = root, 0, []
+    top, link, out, foreign = root, 0, [], False
     now = Block(root)
     at, end = 0, len(page)
 
@@ -160,6 +164,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         tag, closing = name.lower(), bool(m[1] or m[4])
         if tag in BLOCK:
+            foreign = False
             flush()
             if closing:
                 box = top
@@ -180,10 +185,18 @@ def blocks_of(page: str) -> list[Block]:
             link = 0 if closing else 1
         elif tag in RAW:
             if not closing and not (m[3] or m[6] or "").rstrip().endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = stop.end() if stop else end
+                close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I)
+                if not foreign:
+                    stop = close.search(page, at)
+                    at = stop.end() if stop else end
+                elif tag != "title":  # a drawing's title is text; its styles and scripts end with it
+                    leave = _LEAVES.search(page, at)
+                    stop = close.search(page, at, leave.start() if leave else end)
+                    at = stop.end() if stop else at
             now.parts.append(" ")
         elif tag in SPACE:
+            if tag in FOREIGN:
+                foreign = not closing and not (m[3] or m[6] or "").rstrip().endswith("/")
             now.parts.append(" ")
     flush()
     return out

@@ -17,6 +17,25 @@ def test_article_alone_remains():
     assert maintext.main_text(PAGE).split("\n") == ["The title", "First paragraph of the story is long enough to count, it is & it goes on.", "Short one.", "Another bolditalic text <tag> with words.", "Quoted text here."]
 
 
+WORDS = "A paragraph of the story that has enough words in it to be content of the page."
+
+
+def test_embedded_elements_lose_no_text():
+    for tag in ("object", "svg", "math", "video", "audio", "canvas"):
+        inner = f"<{tag} width=3>Words inside of it.</{tag}>"
+        assert maintext.main_text(f"<article><p>{WORDS} {inner} {WORDS}</p></article>") == f"{WORDS} Words inside of it. {WORDS}"
+        unclosed = f"<article><p>{WORDS}</p><{tag}><p>{WORDS} Two.</p><p>{WORDS} Three.</p></article>"
+        assert maintext.main_text(unclosed).split("\n") == [WORDS, WORDS + " Two.", WORDS + " Three."]
+
+
+def test_drawings_hold_no_raw_text():
+    page = lambda x: maintext.main_text(f"<article><p>{WORDS}</p>{x}<p>{WORDS} Two.</p></article>").split("\n")
+    assert page("<svg><style>a>b{}</style><path/></svg>") == [WORDS, WORDS + " Two."]
+    assert page("<svg><title>")[-1] == page("<svg><style>")[-1] == page("<svg><script></svg>")[-1] == WORDS + " Two."
+    assert page("<svg/><style>a>b{}</style>") == [WORDS, WORDS + " Two."]
+    assert page("<script>") == page("<svg></svg><style>") == [WORDS]  # raw text lasts to the end
+
+
 def test_main_stands_against_its_frame():
     page = '<body><div class="layout-sidebar"><main><p>The content of this page, long enough to be a paragraph of it.</p><div class="share">Share this</div></main><div class="sidebar"><p>Some other words that nobody came here for at all.</p></div></div>'
     assert maintext.main_text(page) == "The content of this page, long enough to be a paragraph of it."
