@@ -349,8 +349,9 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SH
     Input: doc_id, text. Output, a row for each input row: doc_id, n_shingles, component_id
     (smallest doc_id reachable by links, itself included). Null and empty texts and texts
     without a word have no shingles and link with nothing; a text of fewer words than a shingle
-    is one shingle. Repeated rows have one component. A null doc_id links with nothing and has
-    a null component. Other columns are ignored; an empty table gives an empty result.
+    is one shingle. Repeated rows have one component; rows with one doc_id but unlike sets link
+    each by its own text. A null doc_id links with nothing and has a null component. Other
+    columns are ignored; an empty table gives an empty result.
     """
     small_batches(docs)
     spark = docs.sparkSession
@@ -358,6 +359,10 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SH
     read = lambda name: spark.read.parquet(f"{folder}/{name}")
     docs.select("doc_id", "text").mapInArrow(functools.partial(_sets, percent, width), SETS).write.parquet(f"{folder}/sets")
     sets = read("sets")
+    own_key = F.coalesce("key", F.lit(b""))
+    if not sets.where("doc_id is not null").groupBy("doc_id").agg(F.min(own_key).alias("a"), F.max(own_key).alias("b")).where("a <> b").isEmpty():
+        dropped(spark, f"{folder}/sets")
+        return _by_row(docs, percent, width, folder)
     sets.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("low").alias("low"), F.first("bits").alias("bits")).write.parquet(f"{folder}/reps")
     sets.select("doc_id", "n", "key").write.parquet(f"{folder}/keys")
     dropped(spark, f"{folder}/sets")
@@ -410,21 +415,47 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SH
     return read("result")
 
 
+def _numbered(docs: DataFrame, path: str) -> DataFrame:
+    """docs as a column ``row`` beside a number of each row, null where doc_id is; written, so numbers stay."""
+    number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id()).alias("number")
+    docs.select(number, F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def _by_row(docs: DataFrame, percent: int, width: int, folder: str) -> DataFrame:
+    """near_components where a doc_id has unlike sets: rows are linked by numbers of their own."""
+    spark = docs.sparkSession
+    rows = _numbered(docs.select("doc_id", "text"), f"{folder}/numbered")
+    found = near_components(rows.select(F.col("number").alias("doc_id"), "row.text"), percent, width, f"{folder}/rows").withColumnRenamed("doc_id", "number")
+    own = found.join(rows.select("number", "row.doc_id"), "number", "left")
+    least = own.groupBy("component_id").agg(F.min("doc_id").alias("least"))
+    own.join(least, "component_id", "left").select("doc_id", "n_shingles", F.col("least").alias("component_id")).write.parquet(f"{folder}/result")
+    for name in ("numbered", "rows"):
+        dropped(spark, f"{folder}/{name}")
+    return spark.read.parquet(f"{folder}/result")
+
+
 def first_of_groups(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
     """docs without the documents that have a component's smaller doc_id before them; all columns stay.
 
-    Documents without a word and rows with a null doc_id stay. Of rows with one doc_id, one stays.
+    Documents without a word and rows with a null doc_id stay. Of rows with one doc_id, one of each
+    component stays, and one of those without a word.
     """
+    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    if not again.isEmpty():
+        folder = shared_folder(docs.sparkSession)
+        rows = _numbered(docs, f"{folder}/numbered")
+        found = near_components(rows.select(F.col("number").alias("doc_id"), "row.text"), percent, width, f"{folder}/rows")
+        own = found.where("doc_id is not null").withColumnRenamed("doc_id", "number").join(rows.select("number", F.col("row.doc_id").alias("id")), "number")
+        some = F.col("n_shingles") > 0
+        group = F.struct(some.alias("some"), F.when(some, F.col("component_id")).otherwise(F.col("id")).alias("of"))
+        first = own.groupBy(group.alias("group")).agg(F.min(F.struct("id", "number")).alias("first")).select("first.number")
+        return rows.join(first, "number", "left_semi").select("row.*").unionByName(rows.where("number is null").select("row.*"))
     found = near_components(docs, percent, width)
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     # Ids are broadcast up to a counted bound, so that texts stay where they are; beyond it both sides are shuffled.
     near = lambda ids: F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
-    kept = docs.join(near(gone), "doc_id", "left_anti")
-    if not again.isEmpty():
-        again = near(again)
-        kept = kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return kept.select(*docs.columns)
+    return docs.join(near(gone), "doc_id", "left_anti").select(*docs.columns)
 
 
 def _may_link(small: str, large: str, percent: int, bits: int) -> Column:

@@ -104,6 +104,22 @@ def test_first_of_groups_keeps_columns_and_one_of_each(spark, edge_docs, empty_d
     assert jaccard.near_components(empty_docs).count() == 0 and jaccard.first_of_groups(empty_docs).count() == 0
 
 
+def test_rows_with_one_id_and_unlike_texts(spark):
+    rnd = random.Random(11)
+    text = lambda: ["".join(rnd.choices("abcdefgh", k=5)) for _ in range(200)]
+    a, b, c, d = (text() for _ in range(4))
+    near = lambda x: " ".join([*x[:-1], "other"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (7, near(a)), (7, " ".join(c)), (8, " ".join(d)), (8, near(d)), (8, ""), (8, " "), (9, ""), (None, "x"), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard.near_components(docs).collect())
+    assert [(i, x) for i, _, x in got] == [(0, None), (0, None), (1, 1), (1, 1), (2, 1), (3, 1), (7, 1), (7, 7), *[(8, 8)] * 4, (9, 9)]
+    assert [n for _, n, _ in got] == [1, 1, 197, 197, 197, 197, 197, 197, 0, 0, 197, 197, 0]
+    kept = [tuple(r) for r in jaccard.first_of_groups(docs).collect()]
+    assert sum(i is None for i, _ in kept) == 2 and {x for i, x in kept if i == 1} == {" ".join(a), " ".join(b)}
+    assert sorted((i, len(t.split())) for i, t in kept if i) == [(1, 200), (1, 200), (7, 200), (8, 0), (8, 200), (9, 0)]
+    assert (7, " ".join(c)) in kept
+
+
 def test_edge_rows(edge_docs):
     got = defaultdict(list)
     for r in jaccard.near_components(edge_docs).collect():
