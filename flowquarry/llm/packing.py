@@ -5,8 +5,8 @@ is shuffled and no group grows with the input. In a group, every document is an
 longer than a window first gives off whole windows). A partial partition holds k loads;
 differencing always merges the two partitions whose largest and smallest loads differ most,
 the largest loads of one with the smallest of the other, until one near-equal partition is
-left. What still exceeds a window's capacity is cut off and laid into the windows with room;
-if there is no room left, the number of windows rises.
+left. What still exceeds a window's capacity is cut off and laid into the windows with room.
+There are ceil(tokens / capacity) windows, so there is always room and their number never rises.
 """
 
 from __future__ import annotations
@@ -71,7 +71,7 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
 def pack_group(sizes: list[int], capacity: int = CAPACITY) -> list[list[tuple[int, int, int]]]:
     """Windows of pieces (item, start, length); every window but those of the last count is full or near it.
 
-    The items' lengths stay below the capacity. Starts with the least possible number of windows.
+    The items' lengths stay below the capacity. The number of windows is the least possible.
     """
     total = sum(sizes)
     k = max(1, -(-total // capacity))
@@ -93,9 +93,6 @@ def pack_group(sizes: list[int], capacity: int = CAPACITY) -> list[list[tuple[in
     heapq.heapify(room)
     for i, start, length in sorted(over, key=lambda x: (-x[2], x[0])):
         while length:
-            if not room:  # capacity is exceeded: one window more
-                room.append((-capacity, len(windows)))
-                windows.append([])
             free, w = room[0]
             fits = min(length, -free)
             windows[w].append((i, start, fits))

@@ -36,6 +36,14 @@ def test_window_count_rises_when_capacity_is_exceeded():
     assert all(sum(n for *_, n in w) <= 128 for w in windows) and len(windows) == 8
 
 
+def test_overflow_is_always_cut_into_free_room():
+    rnd = random.Random(5)
+    for _ in range(300):
+        sizes = [rnd.randint(1, 127) for _ in range(rnd.randint(1, 60))]
+        windows = packing.pack_group(sizes, 128)
+        assert len(windows) == -(-sum(sizes) // 128) and sum(n for w in windows for *_, n in w) == sum(sizes)
+
+
 def check(rows, docs, library, capacity):
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
