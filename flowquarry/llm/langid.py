@@ -25,8 +25,9 @@ from .common import WordTable, carrying, slices, small_batches, sums, with_text
 TRAIN_DOCS, TRAIN_WORDS = 2000, 20_000
 ROUNDS = 4
 SMOOTH = 0.05
-#: Longest piece, and longest word that is scored whole; a longer run of letters is cut.
-PIECE_CHARS, WORD_CHARS = 12, 40
+#: Longest piece of the vocabulary, and longest run of letters that is kept in a table and learned from
+#: whole; a longer one is scored whole by a rolling window, and cut for training only.
+PIECE_CHARS, WORD_CHARS = 16, 40
 #: Probability of a character that has no piece, the same in each language.
 UNKNOWN = 1e-6
 UND = "und"
@@ -41,8 +42,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def runs(text: str) -> list[str]:
-    """Lower-case runs of letters, a mark before each; whole texts, long runs cut."""
-    out = _RUNS.findall(text.lower())
+    """Lower-case runs of letters, whole."""
+    return _RUNS.findall(text.lower())
+
+
+def training_runs(text: str) -> list[str]:
+    """Runs of which long ones are cut."""
+    out = runs(text)
     if max(map(len, out), default=0) > WORD_CHARS:
         out = [x[i : i + WORD_CHARS] for x in out for i in range(0, len(x), WORD_CHARS)]
     return out
@@ -126,6 +132,14 @@ class Model:
 
     def word_scores(self, words: list[str]) -> list[np.ndarray]:
         """Log-probabilities of words; they are handled in blocks, so memory is bounded."""
+        if max(map(len, words), default=0) > WORD_CHARS:
+            made = np.empty((len(words), len(self.languages)))
+            short = [i for i, w in enumerate(words) if len(w) <= WORD_CHARS]
+            made[short] = self.word_scores([words[i] for i in short])[0]
+            for i, w in enumerate(words):
+                if len(w) > WORD_CHARS:
+                    made[i] = self.long_score(w)
+            return [made]
         pieces, out = vocabulary(self.vocabulary_model), []
         for i in range(0, len(words), 4000):
             lattice = Lattice.of(words[i : i + 4000], pieces)
@@ -133,6 +147,26 @@ class Model:
             out.append(np.log(np.maximum(alpha[np.arange(len(lattice.length)), lattice.length], 1e-300)))
         return [np.concatenate(out) if out else np.zeros((0, len(self.languages)))]
 
+    def long_score(self, word: str) -> np.ndarray:
+        """Log-probabilities of a word of any length: the sums of the last PIECE_CHARS prefixes, scaled, are held."""
+        get, text = vocabulary(self.vocabulary_model).get, MARK + word
+        held = np.zeros((PIECE_CHARS + 1, len(self.languages)))
+        held[0], log = 1.0, np.zeros(len(self.languages))
+        for e in range(1, len(text) + 1):
+            starts, used = [], []
+            for a in range(max(0, e - PIECE_CHARS), e):
+                p = get(text[a:e])
+                if p is not None:
+                    starts.append(a % len(held))
+                    used.append(p)
+            total = (held[starts] * self.probability[used]).sum(axis=0)
+            if not used or used[-1] != get(text[e - 1]):  # the character has no piece
+                total += held[(e - 1) % len(held)] * UNKNOWN
+            held[e % len(held)] = total
+            held /= total
+            log += np.log(total)
+        return log
+
 
 def fit(counts: dict[str, dict[str, int]], vocabulary_model: str, rounds: int = ROUNDS) -> Model:
     """Piece probabilities of each language from its words' counts."""
@@ -168,7 +202,7 @@ def train(docs: DataFrame, vocabulary_model: str, max_docs: int = TRAIN_DOCS, ma
             for part in slices(batch):
                 by: dict[str, Counter] = {}
                 for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist(), strict=True):
-                    by.setdefault(lang, Counter()).update(runs(text))
+                    by.setdefault(lang, Counter()).update(training_runs(text))
                 rows = [(lang, w, n) for lang, c in by.items() for w, n in c.items()]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())], ["lang", "word", "n"])
@@ -198,10 +232,15 @@ def predict(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
         for batch in map(with_text, batches):
             for part in slices(batch):
                 lists = [runs(x or "") for x in part.column("text").to_pylist()]
+                n = np.array(list(map(len, lists)), dtype=np.int64)
+                long = [(i, w) for i, x in enumerate(lists) if max(map(len, x), default=0) > WORD_CHARS for w in x if len(w) > WORD_CHARS]
+                for i in {i for i, _ in long}:  # long runs hardly repeat, so the table needn't hold them
+                    lists[i] = [w for w in lists[i] if len(w) <= WORD_CHARS]
                 ids, bounds = words.numbers(lists)
-                n = np.diff(bounds)
                 if languages:
                     total = sums(words.values[0][ids], bounds)
+                    for i, w in long:
+                        total[i] += model.long_score(w)
                     best = total.argmax(axis=1)
                     score = 1.0 / np.exp(np.maximum(total - total.max(axis=1, keepdims=True), -700.0)).sum(axis=1)
                     lang = [languages[k] if m else UND for k, m in zip(best, n, strict=True)]

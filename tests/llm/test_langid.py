@@ -41,6 +41,30 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(row, np.log(np.maximum(brute(word, pieces, probability), 1e-300)))
 
 
+def test_long_pieces_and_long_runs_are_scored_whole():
+    import math
+
+    pieces, rnd = langid.vocabulary(MODEL), np.random.default_rng(2)
+    assert "▁international" in pieces
+    probability = rnd.random((len(pieces), 2)) / len(pieces)
+    model = langid.Model(MODEL, ["a", "b"], probability)
+
+    def exact(word):  # all segmentations, without a window or a cut; floats hold up to about 100 characters
+        text, out = langid.MARK + word, []
+        for x in range(2):
+            alpha = [1.0]
+            for e in range(1, len(text) + 1):
+                weight = lambda a: probability[pieces[text[a:e]], x] if text[a:e] in pieces else langid.UNKNOWN * (e - a == 1)  # noqa: B023, E731
+                alpha.append(math.fsum(alpha[a] * weight(a) for a in range(e)))
+            out.append(math.log(alpha[-1]))
+        return out
+
+    for word in ("international", "internationalthestraße" * 3, "жүкžinternational的" * 3, "и" * 41):
+        assert np.allclose(model.word_scores(["the", word])[0][1], exact(word))
+    assert np.allclose(model.long_score("internationally"), model.word_scores(["internationally"])[0][0])
+    assert langid.runs("Ab" * 100) == ["ab" * 100] and np.isfinite(model.long_score("和" * 5000)).all()
+
+
 def test_training_raises_likelihood():
     counts = {"xx": {"abab": 50, "abcab": 20, "cab": 5}}
     word = list(counts["xx"])
