@@ -16,6 +16,9 @@ FACTOR = -7046029254386353131
 INVERSE = pow(FACTOR % (1 << 64), -1, 1 << 64)
 INVERSE = INVERSE - (1 << 64) if INVERSE >> 63 else INVERSE
 
+#: Edges of a task, about: what it holds in memory and a spanning forest shrinks.
+TASK_EDGES = 1_000_000
+
 
 def mixed(ids: np.ndarray, factor: int = FACTOR) -> np.ndarray:
     return (ids.astype(np.int64).view(np.uint64) * np.uint64(factor % (1 << 64))).view(np.int64)
@@ -70,7 +73,8 @@ def components(edges: DataFrame, folder: str | None = None) -> DataFrame:
     k = 0
     while True:
         now = spark.read.parquet(f"{folder}/edges{k}")
-        now.hint("rebalance").mapInArrow(_contract, "node long, root long").write.parquet(f"{folder}/forest{k}")
+        tasks = max(1, -(-now.count() // TASK_EDGES))  # few tasks leave few edges between their roots
+        now.coalesce(tasks).mapInArrow(_contract, "node long, root long").write.parquet(f"{folder}/forest{k}")
         by = spark.read.parquet(f"{folder}/forest{k}").groupBy("node").agg(F.min("root").alias("root"), F.collect_set("root").alias("roots"))
         by.write.parquet(f"{folder}/nodes{k}")
         nodes = spark.read.parquet(f"{folder}/nodes{k}")

@@ -11,16 +11,18 @@ signature are candidates; their full token sets decide.
 Sets meet in the size band of the smaller one. There it gives the signatures of the prefix
 that any partner of its size or more needs; the larger one gives, for each band that can hold
 a smaller partner, those of the longer prefix that the band's smallest size needs. The band
-also fixes the scheme: the order of tokens and the number of classes. Counting tokens is the costly part, so in the schemes of large sets only tokens with small hashes are
-counted and ordered by count, and the others come later, by hash. Small sets give all their
-tokens. Any order that two sets share is right, so this changes no result. Tokens that are
-nearly everywhere (found from all sets) aren't gathered; they count as most frequent.
+also fixes the scheme: the order of tokens and the number of classes. Counting tokens is the
+costly part, so in the schemes of large sets only tokens with small hashes are counted and
+ordered by count, and the others come later, by hash. Small sets give all their tokens. Any
+order that two sets share is right, so this changes no result. Tokens that are nearly
+everywhere (found from all sets) aren't gathered; they count as most frequent.
 
 Equal sets are one class before the join. A bucket of sets with one signature doesn't emit all
-its pairs: its members are first compared with its first member, and only members that the
-links so far leave in different components are compared further. A candidate pair is dropped
-without its token sets if bitmaps of the parities of hashed tokens differ in more bits than
-similar sets differ in tokens.
+its pairs: its members are first compared with its first member. Buckets that hold several
+components then form families, and a family's sets are compared in blocks of bounded size
+that emit only links between components. A candidate pair is dropped without its token sets
+if bitmaps of the parities of hashed tokens differ in more bits than similar sets differ in
+tokens.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WordTable, dropped, shared_folder, slices, small_batches
@@ -46,13 +48,15 @@ COUNTED = 0.3
 RARE = 32
 #: Tokens in more than this share of all sets aren't gathered; a task reports those above the second share of its sets.
 EVERYWHERE, REPORTED = 0.005, 0.002
+#: Tokens that every task may be told of.
+EVERYWHERE_TOKENS = 100_000
 #: Schemes: least size of a band, classes of frequent tokens, whether all tokens are ordered by count.
 SCHEMES = ((1, 1, True), (32, 16, True), (512, 16, False), (1024, 64, False), (8192, 512, False))
 SMALL = 512
 #: A band's sizes lie within this share of its largest.
 BAND = 0.92
-#: Components of a bucket whose first member all others meet before members meet each other.
-PIVOTS = 8
+#: Sets and tokens that a block of a family holds, about.
+BLOCK_SETS, BLOCK_TOKENS = 4096, 2_000_000
 #: Entries that one index group holds on average, and the least number of groups.
 GROUP_ENTRIES, MIN_GROUPS = 1_000_000, 32
 #: Ids of dropped documents that may be broadcast.
@@ -369,8 +373,9 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SH
     reps = read("reps")
     count, entries = reps.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("low") / 8), F.lit(0))).first()
     parts = max(MIN_GROUPS, int(entries) // GROUP_ENTRIES)
-    # At most (mean tokens of a set / EVERYWHERE) tokens, whatever the number of sets.
+    # The most frequent ones up to a bound; those beyond it are gathered like any other token.
     often = reps.select("low").mapInArrow(_everywhere, "token long, sets long").groupBy("token").agg(F.sum("sets").alias("sets")).where(F.col("sets") >= max(RARE + 1, EVERYWHERE * count))
+    often = often.orderBy(F.desc("sets"), "token").limit(EVERYWHERE_TOKENS)
     everywhere = np.sort(np.array([r["token"] for r in often.select("token").collect()], dtype=np.int64).view(np.uint64))
     index = reps.select("rep", "low").mapInArrow(functools.partial(_index, everywhere, parts), "part int, tokens binary, reps binary, runs binary")
     counted = index.groupBy("part").applyInArrow(lambda group: _counted(parts, group), "part int, reps binary, tokens binary, counts binary")
@@ -384,37 +389,113 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SH
     pairs = signed.where("larger").join(read("firsts"), "signature").where(after & _may_link("a", "", percent, FOLDED)).select("a", F.col("rep").alias("b")).distinct()
     links = _verified(docs, pairs, percent, width, f"{folder}/round1")
     joined = components(links, f"{folder}/graph1")
-    # Buckets whose other members aren't in one component by now. First members meet the first of
-    # each other component, which mostly makes one component of them; then whoever is still apart.
-    fine = reps.select("rep", F.col("bits").alias("fine"))
-    left = signed.drop("bits").join(read("firsts").select("signature", "a"), "signature").where("rep <> a").drop("a")
-    left.write.parquet(f"{folder}/members")
-    for turn in (2, 3):
-        own = read("members").join(joined, F.col("rep") == F.col("node"), "left").select("signature", "rep", "n", "larger", F.coalesce("component", "rep").alias("component"))
-        mixed = own.groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.bool_or(~F.col("larger")).alias("some")).where("least <> most and some").select("signature")
-        own.join(mixed, "signature", "left_semi").join(fine, "rep").withColumnRenamed("fine", "bits").write.parquet(f"{folder}/open{turn}")
-        open_ = read(f"open{turn}")
-        if open_.isEmpty():
-            break
-        one = open_.where("not larger").select("signature", "rep", "n", "bits", "component")
-        if turn == 2:
-            each = one.groupBy("signature", "component").agg(F.min(F.struct("n", "rep", "bits")).alias("x")).select("signature", "component", "x.*")
-            place = F.row_number().over(Window.partitionBy("signature").orderBy("n", "rep"))
-            one = each.withColumn("place", place).where(F.col("place") <= PIVOTS).drop("place")
-        two = open_.where("larger").select("signature", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("bits").alias("b_bits"), F.col("component").alias("b_component"))
-        after = F.struct("b_n", "b") > F.struct(F.col("n").alias("b_n"), F.col("rep").alias("b"))
-        across = one.join(two, "signature").where(after & (F.col("component") != F.col("b_component")) & _may_link("", "b", percent, BITS)).select(F.col("rep").alias("a"), "b").distinct()
-        links = links.unionByName(_verified(docs, across, percent, width, f"{folder}/round{turn}"))
-        joined = components(links, f"{folder}/graph{turn}")
+    # Families: sets that buckets join whose members aren't in one component by now.
+    left = signed.select("signature", "rep", "larger").join(joined, F.col("rep") == F.col("node"), "left").select("signature", "rep", "larger", F.coalesce("component", "rep").alias("component"))
+    mixed = left.groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.bool_or(~F.col("larger")).alias("some"), F.min("rep").alias("a")).where("least <> most and some").select("signature", "a")
+    signed.select("signature", "rep").join(mixed, "signature").select("a", F.col("rep").alias("b")).distinct().write.parquet(f"{folder}/open")
+    if not read("open").isEmpty():
+        families = components(read("open"), f"{folder}/families").select(F.col("node").alias("rep"), F.col("component").alias("family"))
+        texts = docs.select("doc_id", "text").join(families.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        full = texts.mapInArrow(functools.partial(_full, width), "rep long, tokens array<long>")
+        full.join(families, "rep").join(reps.select("rep", F.col("bits")), "rep").write.parquet(f"{folder}/members")
+        links = links.unionByName(_within(spark, folder, percent, joined, links))
+        joined = components(links, f"{folder}/graph4")
     classes = reps.select("key", "rep").join(joined, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component_id"))
     classes.write.parquet(f"{folder}/classes")
     own = read("keys").join(read("classes"), "key", "left")
     own.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")).write.parquet(f"{folder}/result")
-    for name in ("keys", "reps", "signatures", "firsts", "members", "open2", "open3", "round1", "round2", "round3", "graph1", "graph2", "graph3", "classes"):
+    for name in ("keys", "reps", "signatures", "firsts", "open", "families", "members", "blocks2", "blocks3", "links2", "links3", "round1", "graph1", "graph2", "graph4", "classes"):
         dropped(spark, f"{folder}/{name}")
     return read("result")
 
 
+def _within(spark: SparkSession, folder: str, percent: int, joined: DataFrame, links: DataFrame) -> DataFrame:
+    """Links that join the components of each family, from members: rep, tokens, family, bits.
+
+    A family is dealt into blocks of bounded size. At first each block meets the first one,
+    which is linear and all there is to do for a family of one block. Where a larger family
+    still has several components, the members outside its largest one meet all others, block
+    by block, so that no pair of members in different components goes without a comparison.
+    A block emits links that join components, fewer than it has members.
+    """
+    read = lambda name: spark.read.parquet(f"{folder}/{name}")
+    size = F.size("tokens")
+    parts = lambda: F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum(size) / BLOCK_TOKENS), F.lit(1)).cast("int")
+    number = F.pmod(F.xxhash64("rep"), "parts").cast("int")
+    labelled = lambda labels: read("members").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+    own = labelled(joined)
+    dealt = own.groupBy("family").agg(parts().alias("parts"))
+    every = F.when(F.col("part") > 0, F.array("part")).when(F.col("parts") > 1, F.sequence(F.lit(1), F.col("parts") - 1)).otherwise(F.array(F.lit(0)))
+    met = own.join(dealt, "family").withColumn("part", number).select("family", F.explode(every).alias("one"), F.lit(0).alias("two"), F.lit(True).alias("left"), "rep", "component", "bits", "tokens")
+    _joining(met, percent).write.parquet(f"{folder}/links2")
+    found = read("links2")
+    large = dealt.where("parts > 1").select("family")
+    if large.isEmpty():
+        return found
+    own = labelled(components(links.unionByName(found), f"{folder}/graph2")).join(large, "family", "left_semi")
+    counts = own.groupBy("family", "component").agg(F.count("*").alias("members"))
+    most = counts.groupBy("family").agg(F.max(F.struct("members", "component")).alias("most"), F.count("*").alias("kinds")).where("kinds > 1").select("family", F.col("most.component").alias("main"))
+    own.join(most, "family").withColumn("apart", F.col("component") != F.col("main")).drop("main").write.parquet(f"{folder}/blocks3")
+    own = read("blocks3")
+    dealt = own.groupBy("family", "apart").agg(parts().alias("parts")).groupBy("family").agg(F.max(F.when(F.col("apart"), F.col("parts"))).alias("few"), F.max(F.when(~F.col("apart"), F.col("parts"))).alias("many"))
+    part = F.when(F.col("apart"), F.pmod(F.xxhash64("rep"), "few")).otherwise(F.col("few") + F.pmod(F.xxhash64("rep"), "many")).cast("int")
+    # Pairs of blocks (one, two), one of members apart and not after two: a member of block k meets as one and as two.
+    as_one = F.transform(F.sequence(F.col("part"), F.col("few") + F.col("many") - 1), lambda x: F.struct(F.col("part").alias("one"), x.cast("int").alias("two"), F.lit(True).alias("left")))
+    last = F.when(F.col("apart"), F.col("part") - 1).otherwise(F.col("few") - 1).cast("int")
+    as_two = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda x: F.struct(x.alias("one"), F.col("part").alias("two"), F.lit(False).alias("left"))))
+    places = F.concat(F.when(F.col("apart"), as_one).otherwise(F.slice(as_one, 1, 0)), F.coalesce(as_two, F.slice(as_one, 1, 0)))
+    met = own.join(dealt, "family").withColumn("part", part).select("family", F.explode(places).alias("place"), "rep", "component", "bits", "tokens").select("family", "place.*", "rep", "component", "bits", "tokens")
+    _joining(met, percent).write.parquet(f"{folder}/links3")
+    return found.unionByName(read("links3"))
+
+
+def _joining(met: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of each pair of blocks that join components: members on the left meet all."""
+    return met.groupBy("family", "one", "two").applyInArrow(lambda group: _block_links(percent, group), "a long, b long")
+
+
+def _block_links(percent: int, group: pa.Table) -> pa.Table:
+    reps = np.asarray(group.column("rep"))
+    kinds, kind = np.unique(np.asarray(group.column("component")), return_inverse=True)
+    bits = np.asarray(group.column("bits").combine_chunks().flatten()).view(np.uint64).reshape(len(reps), BITS // 64)
+    tokens = group.column("tokens").combine_chunks()
+    values, ends = np.asarray(tokens.flatten()), np.cumsum(np.asarray(pc.list_value_length(tokens), dtype=np.int64))
+    n = np.diff(np.r_[0, ends])
+    left = np.asarray(group.column("left"))
+    parent, kind_of = list(range(len(kinds))), kind.tolist()
+    set_of = lambda i: values[ends[i] - n[i] : ends[i]]
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    a, b = [], []
+    place = np.arange(len(reps))
+    mine = np.flatnonzero(left)
+    for start in range(0, len(mine), 64):
+        some = mine[start : start + 64]
+        roots = np.array([root(i) for i in range(len(kinds))])[kind]
+        both = n[some][:, None] + n[None, :]
+        differ = np.bitwise_count(bits[some][:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
+        overlap = -(-percent * both // (100 + percent))
+        may = (differ <= both - 2 * overlap) & (100 * np.minimum(n[some][:, None], n[None, :]) >= percent * np.maximum(n[some][:, None], n[None, :]))
+        may &= (roots[some][:, None] != roots[None, :]) & (~left[None, :] | (some[:, None] < place[None, :]))
+        x, y = np.nonzero(may)
+        for k in np.argsort(differ[x, y], kind="stable").tolist():
+            i, j = int(some[x[k]]), int(y[k])
+            one, two = root(kind_of[i]), root(kind_of[j])
+            if one != two:
+                shared = len(np.intersect1d(set_of(i), set_of(j), assume_unique=True))
+                if 100 * shared >= percent * (n[i] + n[j] - shared):
+                    parent[max(one, two)] = min(one, two)
+                    a.append(int(reps[i]))
+                    b.append(int(reps[j]))
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def _numbered(docs: DataFrame, path: str) -> DataFrame:
     """docs as a column ``row`` beside a number of each row, null where doc_id is; written, so numbers stay."""
     number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id()).alias("number")

@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from flowquarry.llm import jaccard
+from flowquarry.llm import graphs, jaccard
 from flowquarry.llm.graphs import components, forest
 
 
@@ -73,6 +73,46 @@ def test_frequent_tokens_and_large_set_schemes(spark, monkeypatch):
     assert got == {i: c for i, (_, c) in brute(rows, 85, 4).items()}
 
 
+def variants(rnd, n, words, least, most):
+    """Texts that change some words of one text: similar in pairs here and there, alike in their prefixes."""
+    base = [f"w{i}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for _ in range(rnd.randint(least, most)):
+            text[rnd.randrange(words)] = f"x{rnd.randrange(40)}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [4096, 40])
+def test_families_near_the_threshold(spark, monkeypatch, block):
+    """Families of one block, and of many blocks whose members apart meet all others."""
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
+    rnd = random.Random(21)
+    rows = variants(rnd, 260, 120, 1, 4) + [(1000 + i, text.replace("w", "v")) for i, text in variants(rnd, 150, 60, 0, 3)]
+    got = {r.doc_id: r.component_id for r in jaccard.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {i: c for i, (_, c) in brute(rows, 85, 4).items()}
+    assert got == want and 5 < len(set(want.values())) < len(rows)
+
+
+def test_thousands_of_sets_with_one_prefix(spark):
+    """A family of 2,000 sets gives links, not pairs."""
+    rows = variants(random.Random(22), 2000, 150, 2, 5)
+    got = {r.doc_id: r.component_id for r in jaccard.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: c for i, (_, c) in brute(rows, 85, 4).items()}
+
+
+def test_blocks_emit_fewer_links_than_members():
+    import pyarrow as pa
+
+    base = np.arange(1, 201, dtype=np.int64) * 7919
+    sets = [np.r_[base, np.arange(3, dtype=np.int64) + 10**9 + 10 * i] for i in range(300)]
+    bits = [jaccard.parities(x.view(np.uint64)) for x in sets]
+    group = pa.table({"rep": pa.array(range(300)), "component": pa.array(range(300)), "bits": pa.array(bits, pa.list_(pa.int64())), "tokens": pa.array(sets, pa.list_(pa.int64())), "left": pa.array([True] * 300)})
+    assert jaccard._block_links(85, group).num_rows == 299
+
+
 def test_similar_sets_share_a_signature():
     rnd = np.random.default_rng(4)
     for n in (2, 5, 31, 40, 130, 530, 1100, 1500):
@@ -127,12 +167,14 @@ def test_edge_rows(edge_docs):
     assert got[0] == [(0, 0)] and got[2] == [(0, 2)] and got[3] == [(1, 3), (1, 3)] and got[11] == [(4, 10)] and got[None][0][1] is None
 
 
-def test_components_of_long_chains_and_stars(spark):
+@pytest.mark.parametrize("edges", [1_000_000, 200])
+def test_components_of_long_chains_and_stars(spark, monkeypatch, edges):
+    monkeypatch.setattr(graphs, "TASK_EDGES", edges)
     rnd = random.Random(6)
     ids = list(range(-200, 1300))
     rnd.shuffle(ids)
-    edges = [(a, b) for a, b in zip(ids[:700], ids[1:700], strict=False)] + [(ids[800], x) for x in ids[801:1200]] + [(5_000, 5_000)]
-    df = spark.createDataFrame(edges, "a long, b long").repartition(16)
+    pairs = [(a, b) for a, b in zip(ids[:700], ids[1:700], strict=False)] + [(ids[800], x) for x in ids[801:1200]] + [(5_000, 5_000)]
+    df = spark.createDataFrame(pairs, "a long, b long").repartition(16)
     got = {r.node: r.component for r in components(df).collect()}
     assert set(got) == set(ids[:700]) | set(ids[800:1200])
     assert {got[x] for x in ids[:700]} == {min(ids[:700])} and {got[x] for x in ids[800:1200]} == {min(ids[800:1200])}
