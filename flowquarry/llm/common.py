@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import itertools
 import uuid
 from collections.abc import Callable, Iterator
@@ -43,14 +46,59 @@ def dropped(spark: SparkSession, folder: str) -> None:
 
 
 def small_batches(df: DataFrame) -> None:
-    """Have Spark send texts to Python in batches of a thousand rows, unless the session says otherwise.
+    """Have Spark and Python exchange texts in small batches, unless the session says otherwise.
 
-    Its default of ten thousand rows is made for numbers; of texts it is tens of megabytes a batch,
-    several times over in each worker.
+    The defaults, ten thousand rows and 64 MB, are made for numbers and large executors; a batch
+    of texts is held several times over in a worker and in the executor's direct memory.
     """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if df.sparkSession.conf.get(key) == "10000":
-        df.sparkSession.conf.set(key, "1000")
+    for key, default, value in (("maxRecordsPerBatch", "10000", "1000"), ("maxBytesPerBatch", "67108864b", "4m"), ("maxBytesPerOutputBatch", "-1b", "4m")):
+        key = f"spark.sql.execution.arrow.{key}"
+        if df.sparkSession.conf.get(key, None) == default:
+            df.sparkSession.conf.set(key, value)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """An Arrow function after whose tasks the worker, which lives on, gives its free memory back to the system."""
+    return functools.partial(_released, run)
+
+
+def _released(run: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    _tune()
+    yield from run(batches)
+    _give_back()
+
+
+def lean(made: Callable, *arguments: object) -> object:
+    """made(*arguments) on the driver; what it needed beside its result goes back to the system."""
+    _tune()
+    out = made(*arguments)
+    _give_back()
+    return out
+
+
+@functools.cache
+def _allocator() -> ctypes.CDLL | None:
+    """The C library, where it is one whose allocator can be tuned."""
+    try:
+        library = ctypes.CDLL(None)
+        return library if hasattr(library, "malloc_trim") and hasattr(library, "mallopt") else None
+    except OSError:
+        return None
+
+
+@functools.cache
+def _tune() -> None:
+    """Once a process: Arrow's buffers come from the C library, and its large blocks stay separate, so they can be given back."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    if library := _allocator():
+        library.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD; a fixed one doesn't grow
+        library.mallopt(-1, 16 << 20)  # M_TRIM_THRESHOLD
+
+
+def _give_back() -> None:
+    gc.collect()
+    if library := _allocator():
+        library.malloc_trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordTable, dropped, shared_folder, slices, small_batches
+from .common import WordTable, dropped, released, shared_folder, slices, small_batches
 from .graphs import components
 
 SHINGLE_WORDS, MIN_PERCENT = 4, 85
@@ -361,7 +361,7 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SH
     spark = docs.sparkSession
     folder = folder or shared_folder(spark)
     read = lambda name: spark.read.parquet(f"{folder}/{name}")
-    docs.select("doc_id", "text").mapInArrow(functools.partial(_sets, percent, width), SETS).write.parquet(f"{folder}/sets")
+    docs.select("doc_id", "text").mapInArrow(released(functools.partial(_sets, percent, width)), SETS).write.parquet(f"{folder}/sets")
     sets = read("sets")
     own_key = F.coalesce("key", F.lit(b""))
     if not sets.where("doc_id is not null").groupBy("doc_id").agg(F.min(own_key).alias("a"), F.max(own_key).alias("b")).where("a <> b").isEmpty():
@@ -374,12 +374,12 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SH
     count, entries = reps.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("low") / 8), F.lit(0))).first()
     parts = max(MIN_GROUPS, int(entries) // GROUP_ENTRIES)
     # The most frequent ones up to a bound; those beyond it are gathered like any other token.
-    often = reps.select("low").mapInArrow(_everywhere, "token long, sets long").groupBy("token").agg(F.sum("sets").alias("sets")).where(F.col("sets") >= max(RARE + 1, EVERYWHERE * count))
+    often = reps.select("low").mapInArrow(released(_everywhere), "token long, sets long").groupBy("token").agg(F.sum("sets").alias("sets")).where(F.col("sets") >= max(RARE + 1, EVERYWHERE * count))
     often = often.orderBy(F.desc("sets"), "token").limit(EVERYWHERE_TOKENS)
     everywhere = np.sort(np.array([r["token"] for r in often.select("token").collect()], dtype=np.int64).view(np.uint64))
-    index = reps.select("rep", "low").mapInArrow(functools.partial(_index, everywhere, parts), "part int, tokens binary, reps binary, runs binary")
+    index = reps.select("rep", "low").mapInArrow(released(functools.partial(_index, everywhere, parts)), "part int, tokens binary, reps binary, runs binary")
     counted = index.groupBy("part").applyInArrow(lambda group: _counted(parts, group), "part int, reps binary, tokens binary, counts binary")
-    described = reps.select("rep", "n", "low", "bits").mapInArrow(functools.partial(_described, everywhere, parts), "part int, rep long, n int, counted long, often binary, bits array<long>")
+    described = reps.select("rep", "n", "low", "bits").mapInArrow(released(functools.partial(_described, everywhere, parts)), "part int, rep long, n int, counted long, often binary, bits array<long>")
     counted.groupBy("part").cogroup(described.groupBy("part")).applyInArrow(lambda one, two: _signed(percent, one, two), "signature long, rep long, n int, bits array<long>, larger boolean").write.parquet(f"{folder}/signatures")
 
     signed = read("signatures")
@@ -396,7 +396,7 @@ def near_components(docs: DataFrame, percent: int = MIN_PERCENT, width: int = SH
     if not read("open").isEmpty():
         families = components(read("open"), f"{folder}/families").select(F.col("node").alias("rep"), F.col("component").alias("family"))
         texts = docs.select("doc_id", "text").join(families.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        full = texts.mapInArrow(functools.partial(_full, width), "rep long, tokens array<long>")
+        full = texts.mapInArrow(released(functools.partial(_full, width)), "rep long, tokens array<long>")
         full.join(families, "rep").join(reps.select("rep", F.col("bits")), "rep").write.parquet(f"{folder}/members")
         links = links.unionByName(_within(spark, folder, percent, joined, links))
         joined = components(links, f"{folder}/graph4")
@@ -555,7 +555,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int, width: int, folde
     pairs = spark.read.parquet(f"{folder}/pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts.mapInArrow(functools.partial(_full, width), "rep long, tokens array<long>").write.parquet(f"{folder}/full")
+    texts.mapInArrow(released(functools.partial(_full, width)), "rep long, tokens array<long>").write.parquet(f"{folder}/full")
     full = spark.read.parquet(f"{folder}/full")
     left = full.select(F.col("rep").alias("a"), F.col("tokens").alias("a_tokens"))
     right = full.select(F.col("rep").alias("b"), F.col("tokens").alias("b_tokens"))

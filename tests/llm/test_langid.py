@@ -21,7 +21,7 @@ def brute(word, pieces, probability):
                 start = i
         p = np.ones(probability.shape[1])
         for x in parts:
-            if x in pieces and len(x) <= langid.PIECE_CHARS:
+            if x in pieces:
                 p = p * probability[pieces[x]]
             elif len(x) == 1:
                 p = p * langid.UNKNOWN
@@ -31,6 +31,21 @@ def brute(word, pieces, probability):
     return total
 
 
+def test_lattice_holds_all_pieces():
+    pieces, rnd = langid.vocabulary(MODEL), random.Random(5)
+    words = ["".join(rnd.choices("aeinrstßи的", k=rnd.randint(0, 30))) for _ in range(200)]
+    lattice = langid.Lattice.of(words, langid.piece_index(MODEL))
+    got = sorted(zip(lattice.word.tolist(), lattice.start.tolist(), lattice.end.tolist(), lattice.piece.tolist(), strict=True))
+    want = []
+    for w, word in enumerate(words):
+        text = langid.MARK + word
+        for a in range(len(text)):
+            for b in range(a + 1, len(text) + 1):
+                if text[a:b] in pieces or b == a + 1:
+                    want.append((w, a, b, pieces.get(text[a:b], -1)))
+    assert got == sorted(want) and (np.diff(lattice.end) >= 0).all()
+
+
 def test_forward_sums_all_segmentations():
     pieces, rnd = langid.vocabulary(MODEL), np.random.default_rng(1)
     probability = rnd.random((len(pieces), 2)) / len(pieces)
@@ -65,6 +80,31 @@ def test_long_pieces_and_long_runs_are_scored_whole():
     assert langid.runs("Ab" * 100) == ["ab" * 100] and np.isfinite(model.long_score("和" * 5000)).all()
 
 
+def test_long_runs_are_learned_whole():
+    pieces, index, rnd = langid.vocabulary(MODEL), langid.piece_index(MODEL), np.random.default_rng(3)
+    p = rnd.random((len(pieces), 1)) / len(pieces)
+    words = ["the", "internationale", "жук", "straßeninternationalthe"]
+    lattice, count = langid.Lattice.of(words, index), np.array([3.0, 1.0, 2.0, 5.0])
+    assert np.allclose(lattice.expected(p, count), lattice.expected_by_logarithms(p, count))
+    # Every character of a run of 3,000 letters lies in one piece of each segmentation, or in none.
+    long = "international" * 200 + "ing" * 133 + "x"
+    use = langid.Lattice.of([long], index).expected_by_logarithms(p, np.ones(1))
+    covered = sum(use[i] * len(x) for x, i in pieces.items() if use[i])
+    assert np.isfinite(use).all() and abs(covered - len(long) - 1) < 1
+    # A piece across the fortieth character counts, as any other.
+    head, tail = "q" * 35, max((x for x in pieces if not x.startswith(langid.MARK)), key=lambda x: (len(x), x))
+    assert len(tail) > 6 and langid.Lattice.of([head + tail], index).expected_by_logarithms(p, np.ones(1))[pieces[tail]] > 0
+
+
+def test_texts_without_spaces(spark):
+    rnd = random.Random(7)
+    letters = {"aa": "日本語文字列処理", "bb": "แผ่นดินไทยภาษา".replace("่", "").replace("ิ", "")}
+    rows = [(i, "".join(rnd.choice(letters[k]) for _ in range(500)), k) for i in range(120) for k in [("aa", "bb")[i % 2]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.predict(docs, langid.train(docs, MODEL)).join(docs, "doc_id").where("held_out").collect()
+    assert len(found) > 10 and all(r.lang == r.lang_pred for r in found)
+
+
 def test_training_raises_likelihood():
     counts = {"xx": {"abab": 50, "abcab": 20, "cab": 5}}
     word = list(counts["xx"])

@@ -58,10 +58,30 @@ def test_edge_rows(edge_docs, empty_docs):
     assert quality.judge(edge_docs, model, carry=True).select("row.*").columns == edge_docs.columns
 
 
+def bucket(gram):
+    """The bucket of one n-gram, in plain numbers."""
+    h, most = 0, (1 << 64) - 1
+    for c in gram:
+        h = (h + ord(c) + 1) * 0x9E3779B97F4A7C15 & most
+    return (((h ^ h >> 29) * 0xD6E8FEB86659FD93 & most) >> 40) % quality.BUCKETS
+
+
+def test_word_scores_equal_brute_force():
+    rnd = random.Random(13)
+    weights = np.array([rnd.uniform(-1, 1) for _ in range(quality.BUCKETS)])
+    model = quality.Classifier(weights, np.zeros(2 * quality.BUCKETS), 0.0, 1.0, 0.0)
+    words = ["".join(rnd.choices("abcß好😀#", k=rnd.randint(1, 12))) for _ in range(300)] + ["", "x"]
+    for word, got in zip(words, model.word_scores(words), strict=True):
+        raw = f"<{word}>"
+        grams = [raw[i : i + k] for k in quality.GRAMS for i in range(len(raw) - k + 1)]
+        assert abs(got - weights[quality.own_bucket(word)] - sum(weights[bucket(x)] for x in grams) / len(grams)) < 1e-9
+        assert got == model.word_scores([word])[0]  # whatever words stand beside it
+
+
 def test_long_words_count_to_their_end(spark):
     rnd = random.Random(9)
     weights = np.array([rnd.uniform(-1, 1) for _ in range(quality.BUCKETS)])
-    model = quality.Classifier(weights, 0.0, 1.0, 0.0)
+    model = quality.Classifier(weights, np.zeros(2 * quality.BUCKETS), 0.0, 1.0, 0.0)
     head = "".join(chr(rnd.randint(0x4E00, 0x4FFF)) for _ in range(64))
     own = lambda w: weights[quality.zlib.crc32(b"w" + w.encode()) % quality.BUCKETS]
     one, two = head + "好" * 200, head + "bad" * 200
@@ -71,7 +91,7 @@ def test_long_words_count_to_their_end(spark):
         word = "".join(rnd.choices("abcdefgh好", k=n))
         raw = f"<{word}>"
         grams = [raw[i : i + k] for k in quality.GRAMS for i in range(len(raw) - k + 1)]
-        mean = sum(weights[quality.zlib.crc32(x.encode()) % quality.BUCKETS] for x in grams) / len(grams)
+        mean = sum(weights[bucket(x)] for x in grams) / len(grams)
         assert abs(model.word_scores(["short", word, "words"])[1] - own(word) - mean) < 1e-9
 
 
@@ -80,6 +100,27 @@ def test_training_reads_long_words_to_their_end():
     for length in (200, 110_000):
         head = "".join(rnd.choices("abcdef", k=64))
         made = lambda y: head + "".join(rnd.choices("uvw" if y else "xyz", k=length))  # noqa: B023, E731
-        model = quality.fit([({made(i % 3 > 0): 1}, int(i % 3 > 0)) for i in range(24)])
+        model = quality.fit([({made(i % 3 > 0): 1}, quality.pair_counts([]), int(i % 3 > 0)) for i in range(24)])
         good, bad = model.probability(model.word_scores([made(1), made(0)]))
         assert good > 0.5 > bad
+
+
+def test_word_order_counts():
+    """Two texts of the same words differ by their bigrams and borders only; scoring equals brute force."""
+    rnd = random.Random(11)
+    good = ["stone", "river", "house", "under", "light", "walked"] * 4
+    rows = []
+    for i in range(120):
+        words = list(good) if i % 2 else rnd.sample(good, len(good))
+        rows.append((dict(Counter(words)), quality.pair_counts(words), i % 2))
+    model = quality.fit(rows)
+    texts = [good, rnd.sample(good, len(good)), [], ["one"], ["stone", "river"]]
+    flat = [w for x in texts for w in x]
+    bounds = np.cumsum([0, *map(len, texts)])
+    scores = model.pair_scores(quality.hashes(flat), bounds)
+    for words, score in zip(texts, scores, strict=True):
+        pairs = quality.pair_counts(words)
+        assert abs(score - sum(model.pairs[b] * n for b, n in zip(*pairs)) / max(len(words) - 1, 1)) < 1e-12
+    share = model.word_scores(good).mean()
+    assert model.probability(share + scores[0]) > 0.5 > model.probability(share + scores[1])
+    assert set(quality.pair_counts(["ab", "cd"])[0]) & set(quality.pair_counts(["xab", "cdx"])[0])  # the border's n-gram is shared
