@@ -5,8 +5,9 @@ is shuffled and no group grows with the input. In a group, every document is an
 longer than a window first gives off whole windows). A partial partition holds k loads;
 differencing always merges the two partitions whose largest and smallest loads differ most,
 the largest loads of one with the smallest of the other, until one near-equal partition is
-left. What still exceeds a window's capacity is cut off and laid into the windows with room.
-There are ceil(tokens / capacity) windows, so there is always room and their number never rises.
+left. If a window exceeds the capacity, the group gets one window more and is differenced again,
+as long as no more than MAX_PADDING of the windows stays empty. What exceeds the capacity even
+then is cut off and laid into windows with room, so most documents stay whole.
 """
 
 from __future__ import annotations
@@ -23,11 +24,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import slices, small_batches
+from .common import released, slices, small_batches
 
 CAPACITY = 2048
 #: Windows in a group: the unit of differencing. Memory of a task is bounded by it.
 GROUP_WINDOWS = 128
+#: Share of a group's windows that may be padding.
+MAX_PADDING = 0.02
 END_ID = 1
 #: Words kept with their ids, half of them the older half.
 CACHE, CACHE_CHARS, RUNS = 800_000, 48, 500_000
@@ -68,17 +71,29 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
     return found + [[] for _ in range(k - len(found))]
 
 
-def pack_group(sizes: list[int], capacity: int = CAPACITY) -> list[list[tuple[int, int, int]]]:
-    """Windows of pieces (item, start, length); every window but those of the last count is full or near it.
+def pack_group(sizes: list[int], capacity: int = CAPACITY) -> tuple[list[list[tuple[int, int, int]]], bool]:
+    """Windows of pieces (item, start, length), and whether their padding is within MAX_PADDING.
 
-    The items' lengths stay below the capacity. The number of windows is the least possible.
+    The items' lengths stay below the capacity. Whole items are differenced into the least number
+    of windows, then into one more each time a window's capacity is exceeded. Only when another
+    window would be too much padding are items cut.
     """
     total = sum(sizes)
-    k = max(1, -(-total // capacity))
+    least = max(1, -(-total // capacity))
+    most = int(total / (capacity * (1 - MAX_PADDING)))
+    for k in range(least, max(least, most) + 1):
+        parts = difference(sizes, k)
+        if all(sum(sizes[i] for i in items) <= capacity for items in parts):
+            return [[(i, 0, sizes[i]) for i in items] for items in parts if items], least <= most
+    return _cut(parts, sizes, capacity), least <= most
+
+
+def _cut(parts: list[list[int]], sizes: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
+    """Windows of which what exceeds the capacity is cut off and laid into those with most room."""
     windows: list[list[tuple[int, int, int]]] = []
     over: list[tuple[int, int, int]] = []
     room: list[tuple[int, int]] = []
-    for items in difference(sizes, k):
+    for items in parts:
         pieces, used = [], 0
         for i in sorted(items, key=lambda i: (-sizes[i], i)):
             fits = min(sizes[i], capacity - used)
@@ -201,7 +216,8 @@ class Packer:
     """Takes documents one by one and gives rows of pieces, group by group."""
 
     def __init__(self, first: int, capacity: int, group_windows: int):
-        self.sequence, self.capacity, self.limit = first, capacity, group_windows * capacity
+        # Half of the padding that is allowed is left for the first number of windows.
+        self.sequence, self.capacity, self.limit = first, capacity, int(group_windows * capacity * (1 - MAX_PADDING / 2))
         self.items: list[tuple[int | None, int, bytes, int]] = []  # doc_id, start, ids, doc_tokens
         self.held = 0
 
@@ -212,22 +228,18 @@ class Packer:
             yield doc_id, at, self.capacity, zlib.crc32(piece), n, self.sequence, 0
             self.sequence += 1
             at += self.capacity
-        while at < n:  # a group holds whole windows' worth exactly; the rest opens the next group
-            fits = min(n - at, self.limit - self.held)
-            self.items.append((doc_id, at, ids[4 * at : 4 * (at + fits)], n))
-            self.held += fits
-            at += fits
-            if self.held == self.limit:
+        if at < n:
+            if self.held + n - at > self.limit:
                 yield from self.close()
+            self.items.append((doc_id, at, ids[4 * at :], n))
+            self.held += n - at
 
     def close(self) -> Iterator[tuple]:
-        """Pack what is held. A group that doesn't fill its windows cuts its last ones into powers of two."""
-        sizes = [len(x[2]) // 4 for x in self.items]
-        windows = pack_group(sizes, self.capacity)
-        short = [x for x in windows if sum(n for *_, n in x) < self.capacity]
-        windows = [x for x in windows if sum(n for *_, n in x) == self.capacity]
-        if short:
-            windows += self._levelled([p for x in short for p in x])
+        """Pack what is held. A task's last group may be too small for little padding: then its last windows are cut into powers of two."""
+        windows, padded = pack_group([len(x[2]) // 4 for x in self.items], self.capacity)
+        if not padded:
+            short = [x for x in windows if sum(n for *_, n in x) < self.capacity]
+            windows = [x for x in windows if sum(n for *_, n in x) == self.capacity] + self._levelled([p for x in short for p in x])
         for pieces in windows:
             offset = 0
             for i, start, length in pieces:
@@ -257,8 +269,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, gr
     Output, a row for each piece: doc_id, start (tokens of its document before it), length,
     ids_crc32 (of its ids as unsigned little-endian 32-bit numbers), doc_tokens, sequence_id,
     offset (in the sequence, gapless from 0). A document's ids are the tokenizer's without
-    special tokens, then id 1. Each id lies in exactly one piece. A task's last windows are cut
-    into powers of two, which need no padding. Null and empty texts are one token long.
+    special tokens, then id 1. Each id lies in exactly one piece. A document longer than a sequence
+    gives off full ones first. At most MAX_PADDING of a group is padding; a task's last group, if it
+    is too small for that, is cut into powers of two, which need none. Null and empty texts are one token long.
     Repeated rows are packed each by itself, a null doc_id stays null, other columns are
     ignored, an empty table gives an empty result. sequence_id is the task's number times
     2^40 plus a running number, so a repeated task gives the same rows.
@@ -285,4 +298,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, gr
             yield batch_of(rows)
 
     small_batches(docs)
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(released(run), SCHEMA)

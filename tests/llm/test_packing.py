@@ -32,16 +32,48 @@ def test_difference_partitions_all_items_evenly():
 
 
 def test_window_count_rises_when_capacity_is_exceeded():
-    windows = packing.pack_group([100] * 10, 128)
-    assert all(sum(n for *_, n in w) <= 128 for w in windows) and len(windows) == 8
-
-
-def test_overflow_is_always_cut_into_free_room():
+    sizes = [40] * 300  # three items fill a window of 128 to 120: 94 windows would do for the tokens, 100 for the items
+    assert -(-sum(sizes) // 128) == 94
+    windows, padded = packing.pack_group(sizes, 128)
+    assert padded and len(windows) == 95 and all(sum(n for *_, n in w) <= 128 for w in windows)  # a further one would be over MAX_PADDING
+    sizes = [rnd_size for seed in range(40) for rnd_size in random.Random(seed).choices(range(1, 60), k=100)]
+    windows, padded = packing.pack_group(sizes, 2048)
+    assert padded and len(windows) > -(-sum(sizes) // 2048) - 1 and all(len({i for i, *_ in w}) == len(w) for w in windows)
+    risen = 0
+    for seed in range(60):
+        rnd = random.Random(seed)
+        sizes = [rnd.randint(1, 900) for _ in range(500)]
+        least = -(-sum(sizes) // 2048)
+        windows, padded = packing.pack_group(sizes, 2048)
+        assert padded and sum(n for w in windows for *_, n in w) == sum(sizes) and all(sum(n for *_, n in w) <= 2048 for w in windows)
+        assert len(windows) * 2048 * (1 - packing.MAX_PADDING) <= sum(sizes)
+        risen += len(windows) > least
+    assert risen > 30
+
+
+def test_small_groups_are_cut_into_windows_without_padding():
     rnd = random.Random(5)
     for _ in range(300):
-        sizes = [rnd.randint(1, 127) for _ in range(rnd.randint(1, 60))]
-        windows = packing.pack_group(sizes, 128)
-        assert len(windows) == -(-sum(sizes) // 128) and sum(n for w in windows for *_, n in w) == sum(sizes)
+        sizes = [rnd.randint(1, 127) for _ in range(rnd.randint(1, 20))]
+        windows, padded = packing.pack_group(sizes, 128)
+        assert sum(n for w in windows for *_, n in w) == sum(sizes)
+        assert padded or len(windows) == -(-sum(sizes) // 128)
+
+
+def test_little_padding_and_mostly_whole_documents():
+    rnd, packer, rows, docs = random.Random(8), packing.Packer(0, 2048, 128), [], {}
+    for i in range(4000):
+        docs[i] = min(20_000, int(rnd.lognormvariate(6, 1.2)) + 1)
+        rows += packer.add(i, bytes(4 * docs[i]))
+    rows += packer.close()
+    loads, pieces = defaultdict(int), defaultdict(int)
+    for doc_id, _, length, _, _, sequence, _ in rows:
+        loads[sequence] += length
+        pieces[doc_id] += 1
+    padding = sum(2048 - x for x in loads.values() if x & (x - 1))
+    assert padding <= packing.MAX_PADDING * sum(docs.values())
+    short = [i for i, n in docs.items() if n < 2048]
+    assert sum(pieces[i] == 1 for i in short) >= 0.9 * len(short)
 
 
 def check(rows, docs, library, capacity):
@@ -71,7 +103,7 @@ def test_pieces_hold_each_id_once(spark):
     docs = [(i, " ".join(rnd.choice(["alpha", "beta", "Gamma,", "ñandú"]) for _ in range(rnd.choice([0, 1, 7, 90, 700])))) for i in range(60)] + [(900, None)]
     df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(2)
     loads = check(packing.pack_documents(df, PATH, 64, 4).collect(), docs, library, 64)
-    assert all(x == 64 or x & (x - 1) == 0 for x in loads)  # nothing is padded
+    assert sum(64 - x for x in loads if x & (x - 1)) <= 0.03 * sum(loads)
 
 
 def test_edge_rows(edge_docs, empty_docs):
