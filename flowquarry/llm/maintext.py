@@ -43,14 +43,18 @@ BOILER_WORDS = frozenset(
 #: These mark boilerplate outside of content only; an article may have a header of its own.
 HEADER_WORDS = frozenset("banner header masthead".split())
 CONTENT_WORDS = frozenset("article articlebody body content entry main post story text".split())
-BOILER, CONTENT, FAINT = -100, 40, -10
+#: Of these, the words that mark inline elements too; others may stand there for other things, as in highlighted code.
+INLINE_WORDS = frozenset("ad ads advert advertisement advertising adverts hidden promo promoted sponsor sponsored".split())
+#: Terminal costs of containers. What a text itself says is worth less than two neighbours in its container.
+BOILER, CONTENT, FAINT = -80, 24, -10
 #: Smoothness: next block in the same container, next block elsewhere, next block of a common outer
 #: container; between a container that marks boilerplate and one that doesn't.
-BESIDE, NEXT, NEAR, ACROSS = 12, 4, 6, 2
+BESIDE, NEXT, NEAR, ACROSS = 16, 6, 8, 1
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_OPEN = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_STOP = re.compile(r"""[>"']""")
 _LEAVES = re.compile(rf"<(?:{'|'.join(sorted(BLOCK))}|/(?:{'|'.join(sorted(FOREIGN))}))(?=[\s/>])", re.I)
-_NAMED = re.compile(r"""\b(class|id|role|itemprop|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_NAMED = re.compile(r"""(?<![\w-])(class|id|role|itemprop|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 _LEGAL = re.compile(r"©|\bcopyright\b|\ball rights reserved\b|\bcookies?\b|\bprivacy policy\b", re.I)
 _ENDS = re.compile(r"[.!?…:;][\"'”’»)]*$")
@@ -65,7 +69,9 @@ class Box:
     evidence: int = 0
     content: bool = False
     boiler: bool = False
-    depth: int = 0
+    #: A form is around it; something else that marks boilerplate is.
+    in_form: bool = False
+    framed: bool = False
 
 
 @dataclass
@@ -78,7 +84,7 @@ class Block:
 
 def opened(tag: str, attributes: str, parent: Box | None) -> Box:
     """A box with the evidence of its tag and attributes; content counts once, the nearest form only."""
-    box = Box(tag, parent, depth=parent.depth + 1 if parent else 0)
+    box = Box(tag, parent)
     content, boiler, header = False, tag in BOILER_TAGS, tag == "header"
     if tag in ("article", "main"):
         content = True
@@ -99,7 +105,7 @@ def opened(tag: str, attributes: str, parent: Box | None) -> Box:
     inside = content or bool(parent and parent.content)
     boiler |= header and not inside
     if parent:
-        box.content, box.boiler, box.evidence = parent.content, parent.boiler, parent.evidence
+        box.content, box.boiler, box.evidence, box.in_form, box.framed = parent.content, parent.boiler, parent.evidence, parent.in_form, parent.framed
     if tag == "form":
         box.evidence += BOILER
         box.boiler = True
@@ -110,29 +116,73 @@ def opened(tag: str, attributes: str, parent: Box | None) -> Box:
         box.evidence, box.content, box.boiler = CONTENT, True, False
     elif content and not box.content:
         # A form around a whole page's content is part of the frame, not of the content.
-        box.evidence += CONTENT - (BOILER if _only_form(parent) else 0)
+        box.evidence += CONTENT - (BOILER if parent and parent.in_form and not parent.framed else 0)
         box.content = True
     box.evidence += FAINT * (header and inside)
+    box.in_form |= tag == "form"
+    box.framed |= tag != "form" and box.boiler and not (parent and parent.boiler)
     return box
 
 
-def _only_form(box: Box | None) -> bool:
-    found = False
-    while box:
-        if box.tag == "form":
-            found = True
-        elif box.boiler and not (box.parent and box.parent.boiler) and box.tag != "form":
-            return False
-        box = box.parent
-    return found
+def unseen(attributes: str) -> bool:
+    """Whether an inline element is hidden or an advert."""
+    for name, *values in _NAMED.findall(attributes):
+        name, value = name.lower(), "".join(values).lower()
+        if name == "style":
+            if "display:none" in value.replace(" ", "") or "visibility:hidden" in value.replace(" ", ""):
+                return True
+        elif name == "hidden" or name == "aria-hidden" and value == "true" or name in ("class", "id") and any(not INLINE_WORDS.isdisjoint(_WORD.findall(x)) for x in value.split()):
+            return True
+    return False
+
+
+class Scanner:
+    """Tags of a page, found in one pass: no place is read more than a few times, however malformed the page is."""
+
+    def __init__(self, page: str):
+        self.page = page
+        #: False once a tag's quoted values would swallow the rest of the page: then quotes mean nothing.
+        self.quoted = True
+        self.lone: set[str] = set()
+        self.found: dict[str, re.Match | None] = {}
+
+    def tag_end(self, start: int) -> int:
+        """Where the tag ends whose attributes begin at ``start``, -1 if nowhere. A quote opens a value after = only, if it is closed."""
+        page, at = self.page, start
+        while self.quoted:
+            m = _STOP.search(page, at)
+            if m is None:
+                self.quoted = False
+                break
+            if m[0] == ">":
+                return m.end()
+            at, k = m.end(), m.start() - 1
+            while page[k].isspace():
+                k -= 1
+            if page[k] == "=" and m[0] not in self.lone:
+                closed = page.find(m[0], at)
+                if closed < 0:
+                    self.lone.add(m[0])
+                else:
+                    at = closed + 1
+        return page.find(">", start) + 1 or -1
+
+    def following(self, name: str, pattern: re.Pattern, at: int) -> re.Match | None:
+        """The first match from ``at`` on, where ``at`` never falls for a name."""
+        if name not in self.found or (m := self.found[name]) and m.start() < at:
+            self.found[name] = pattern.search(self.page, at)
+        return self.found[name]
 
 
 def blocks_of(page: str) -> list[Block]:
     """Blocks with text, in page order. Copes with elements that are never closed, or closed twice."""
-    root = Box("", None)
+    root, scanner = Box("", None), Scanner(page)
     top, link, out, foreign = root, 0, [], False
     now = Block(root)
     at, end = 0, len(page)
+    open_tags: dict[str, int] = {}
+    #: An inline element that isn't seen: its tag, how many of it are open, and the box it stands in.
+    hidden, nested, hidden_in = "", 0, root
 
     def flush() -> None:
         nonlocal now
@@ -142,62 +192,80 @@ def blocks_of(page: str) -> list[Block]:
             out.append(now)
         now = Block(top)
 
+    def add(piece: str) -> None:
+        if not hidden:
+            now.parts.append(piece)
+            if link:
+                now.linked += len(piece)
+
+    def up() -> None:
+        nonlocal top, hidden
+        open_tags[top.tag] -= 1
+        if top is hidden_in:
+            hidden = ""
+        top = top.parent
+
     while at < end:
-        m = _TOKEN.search(page, at)
-        if m is None:
+        m = _OPEN.search(page, at)
+        mark = m and page[m.start() : m.end()]
+        stop = -1
+        if mark == "<!--":
+            stop = page.find("-->", m.end() - 2)
+            stop = stop + 3 if stop >= 0 else end
+        elif mark in ("<!", "<?"):
+            stop = page.find(">", m.end()) + 1 or end
+        elif m:
+            stop = scanner.tag_end(m.end())
+        if stop < 0:  # no tag ends any more; an opening tag that the page's end cuts off is markup
             piece = page[at:]
-            # An opening tag that the page's end cuts off is markup.
             cut = piece.rfind("<")
-            if cut >= 0 and re.match(r"<(?:/?[a-zA-Z]|!|\?)", piece[cut:]):
-                piece = piece[:cut]
-            now.parts.append(piece)
-            now.linked += len(piece) * (link > 0)
+            add(piece[:cut] if cut >= 0 and re.match(r"<(?:/?[a-zA-Z]|!|\?)", piece[cut : cut + 3]) else piece)
             break
         if m.start() > at:
-            piece = page[at : m.start()]
-            now.parts.append(piece)
-            if link:
-                now.linked += len(piece)
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
+            add(page[at : m.start()])
+        at = stop
+        if not m[2]:
             continue
-        tag, closing = name.lower(), bool(m[1] or m[4])
+        tag, closing, attributes = m[2].lower(), bool(m[1]), page[m.end() : stop - 1]
         if tag in BLOCK:
             foreign = False
             flush()
             if closing:
-                box = top
-                while box is not root and box.tag != tag:
-                    box = box.parent
-                if box is not root:
-                    top = box.parent
+                if open_tags.get(tag):
+                    while top.tag != tag:
+                        up()
+                    up()
             else:
                 if tag in CLOSES_P and top.tag == "p":
-                    top = top.parent
+                    up()
                 for _ in range(2):
                     if top.tag in ENDS.get(tag, ()):
-                        top = top.parent
+                        up()
                 if tag != "hr":
-                    top = opened(tag, m[3] or m[6] or "", top)
+                    top = opened(tag, attributes, top)
+                    open_tags[tag] = open_tags.get(tag, 0) + 1
             now = Block(top)
         elif tag == "a":
             link = 0 if closing else 1
         elif tag in RAW:
-            if not closing and not (m[3] or m[6] or "").rstrip().endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I)
+            if not closing and not attributes.rstrip().endswith("/"):
+                close = scanner.following(tag, re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I), at)
                 if not foreign:
-                    stop = close.search(page, at)
-                    at = stop.end() if stop else end
+                    at = close.end() if close else end
                 elif tag != "title":  # a drawing's title is text; its styles and scripts end with it
-                    leave = _LEAVES.search(page, at)
-                    stop = close.search(page, at, leave.start() if leave else end)
-                    at = stop.end() if stop else at
+                    leave = scanner.following("", _LEAVES, at)
+                    at = close.end() if close and close.end() <= (leave.start() if leave else end) else at
             now.parts.append(" ")
         elif tag in SPACE:
             if tag in FOREIGN:
-                foreign = not closing and not (m[3] or m[6] or "").rstrip().endswith("/")
+                foreign = not closing and not attributes.rstrip().endswith("/")
             now.parts.append(" ")
+        if hidden:
+            if tag == hidden:
+                nested += -1 if closing else 1
+                hidden = hidden if nested else ""
+        elif not closing and attributes and tag not in BLOCK and tag not in RAW and tag not in SPACE and unseen(attributes):
+            hidden, nested, hidden_in = tag, 1, top
     flush()
     return out
 
@@ -215,7 +283,7 @@ def score(block: Block) -> int:
     if block.linked:
         total -= 40 * min(block.linked, len(text)) // len(text)
     if words < 40 and _LEGAL.search(text):
-        total -= 30
+        total -= 20
     return total
 
 

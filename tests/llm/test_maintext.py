@@ -1,5 +1,8 @@
 import itertools
 import random
+import time
+
+import pytest
 
 from flowquarry.llm import maintext
 
@@ -51,6 +54,73 @@ def test_cut_is_of_least_cost():
         assert cost(maintext.minimum_cut(scores, edges)) == min(map(cost, itertools.product([False, True], repeat=n)))
 
 
+def brute_labels(scores, edges):
+    """All labellings of least cost; the one with fewest content blocks, as ties go to boilerplate."""
+    cost = lambda labels: sum(abs(x) for x, k in zip(scores, labels, strict=True) if x and (x > 0) != k) + sum(c for a, b, c in edges if labels[a] != labels[b])
+    return list(min(itertools.product([False, True], repeat=len(scores)), key=lambda x: (cost(x), sum(x))))
+
+
+def random_page(rnd):
+    inner = ["Bake the cookies for ten minutes.", "Short one", "A line that ends here, with some more words in it.", "<a href=x>A link and nothing else here</a>", "All rights reserved", "x"]
+    open_ = ["<div>", "<div class=ad>", "<article>", "<div class='post'>", "<footer>", "<section>", "<form>"]
+    return "".join(rnd.choice(["", "", rnd.choice(open_), "</div>", "</article>"]) + f"<p>{rnd.choice(inner)}</p>" for _ in range(rnd.randint(1, 11)))
+
+
+def test_pages_equal_brute_force_labelling(spark):
+    rnd = random.Random(12)
+    pages = [random_page(rnd) for _ in range(150)]
+    rows = [(i, "u", p) for i, p in enumerate(pages)] * 2  # repeated rows give repeated rows
+    got = {}
+    for r in maintext.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        got.setdefault(r.page_id, []).append(r.text)
+    flipped = 0
+    for i, page in enumerate(pages):
+        blocks = maintext.blocks_of(page)
+        scores = [maintext.score(x) for x in blocks]
+        labels = brute_labels(scores, maintext.edges_of(blocks))
+        flipped += sum((s > 0) != k for s, k in zip(scores, labels, strict=True))
+        assert got[i] == ["\n".join(x.text for x, k in zip(blocks, labels, strict=True) if k)] * 2
+    assert flipped > 50  # the cut decides, not the scores alone
+
+
+def test_cut_keeps_a_doubtful_block_among_content_and_drops_one_among_boilerplate():
+    page = f"<body><div><p>{WORDS}</p><p>Bake the cookies for ten minutes.</p><p>{WORDS} Two.</p></div>"
+    blocks = maintext.blocks_of(page)
+    assert [maintext.score(x) > 0 for x in blocks] == [True, False, True]
+    assert maintext.main_text(page).split("\n") == [WORDS, "Bake the cookies for ten minutes.", WORDS + " Two."]
+    links = "<p><a href=x>Some words that link to another page</a></p>"
+    page = f"<body><div>{links}<p>Five words stand right here.</p>{links}</div><article><p>{WORDS}</p></article>"
+    assert [maintext.score(x) > 0 for x in maintext.blocks_of(page)] == [False, True, False, True]
+    assert maintext.main_text(page) == WORDS
+
+
+def test_hidden_inline_elements():
+    page = lambda x: maintext.main_text(f"<article><p>{WORDS} {x} {WORDS}</p></article>")
+    for x in ("<span hidden>a <span>b</span> c</span>", "<span class='ad top'>a</span>", "<b style='display: none'>a</b>", "<i aria-hidden=true>a</i>"):
+        assert page(x) == f"{WORDS} {WORDS}"
+    assert page("<span class=comment data-id=ad>kept</span>") == f"{WORDS} kept {WORDS}"
+    assert maintext.main_text(f"<article><p>{WORDS}<span hidden>a</p><p>{WORDS} Two.</p></article>").split("\n") == [WORDS, WORDS + " Two."]
+
+
+MALFORMED = {
+    "open tags": "<a ", "divs": "<div></section>", "quotes": '<a x=" y="><a "', "styles": "<svg><style>", "contents": "<div class=content>a", "paragraphs": "<p>a", "comments": "<!--", "signs": "<", "hidden": "<span hidden>a",
+    "doubtful": f"<p>{WORDS}</p><p>a</p><p>cookies</p>",
+}
+
+
+@pytest.mark.parametrize("kind", MALFORMED)
+def test_long_malformed_pages_take_time_in_proportion(kind):
+    start = time.process_time()
+    maintext.main_text(MALFORMED[kind] * (1_000_000 // len(MALFORMED[kind])))
+    assert time.process_time() - start < 10
+
+
+def test_quotes_and_tags():
+    assert maintext.main_text(f"<article><p title='a > b' class=x>{WORDS}</p><p data-x=\"it's\">{WORDS} Two.</p>").split("\n") == [WORDS, WORDS + " Two."]
+    assert maintext.main_text(f"<article><p title=\"never closed>{WORDS}</p><p>{WORDS} Two.</p>").split("\n") == [WORDS, WORDS + " Two."]
+    assert maintext.main_text(f"<article><p it's=1>{WORDS}</p><p>{WORDS} 1 < 2.</p><p>cut <a href=").split("\n") == [WORDS, WORDS + " 1 < 2.", "cut"]
+
+
 def test_edge_rows(spark):
     pages = [(1, "u", None), (2, None, ""), (3, "u", "<"), (4, "u", "<p>" + "long words stand here now. " * 4000), (5, "u", "<div><div></p></article><p>One paragraph that has some words, enough of them to be content."), (5, "u", "plain text without any markup at all, but a good many words in it"), (None, "u", "<p>x<script>never closed")]
     df = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, text string")
