@@ -2,24 +2,27 @@
 
 Notices of similar length share a window size and a stride chosen so that a notice always
 lies whole in a window that is little longer than it. A window's MinHash signature is cut into
-bands; notices that agree in a band are candidates, and containment of the notice's five-word
-shingles in the window decides. With a notice's least containment in the longest window of its
-class the similarity is at least about 0.35, so 48 bands of two values miss it with a chance
-below 0.2 percent; whole notices are missed far more rarely.
-
-A window that agrees in a band shares a shingle with the notice. So windows without a notice's
-shingle are left out before anything is hashed for bands, which loses nothing.
+bands of one value each; notices that agree in a band are candidates, and containment of the
+notice's five-word shingles in the window decides. The number of bands follows from the least
+similarity that a notice at the least containment has with the longest window of its class, so
+that such a notice is missed with a chance of at most MISS; whole notices far more rarely.
+
+The bands retrieve: a window can agree with a notice in a band only if it holds the shingle
+whose hash is the notice's minimum there. So texts are looked up by the band values of the
+notices, and the windows around what is found are hashed for all bands and joined by them.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHINGLE_WORDS, MIN_CONTAINMENT = 5, 0.8
-BANDS, BAND_ROWS = 48, 2
+#: Chance to miss a notice of the least containment in a window.
+MISS = 1e-6
 #: Lengths in words at which a class of notices begins.
 CLASS_STARTS = (5, 6, 7, 8, 10, 12, 15, 18, 22, 27, 33, 40, 50, 64)
 #: License notices as their licenses word them.
@@ -79,30 +82,46 @@ def shingles(words: Column) -> Column:
     return F.array_distinct(F.when(F.size(words) >= SHINGLE_WORDS, joined).otherwise(F.array().cast("array<string>")))
 
 
-def bands(grams: Column) -> Column:
-    """Band keys of a set of shingles."""
-    value = lambda j: F.array_min(F.transform(grams, lambda g: F.xxhash64(g, j)))
-    row = lambda b: F.transform(F.sequence(F.lit(0), F.lit(BAND_ROWS - 1)), lambda r: value(b * BAND_ROWS + r))
-    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, row(b)))
+def band_count(groups: list[tuple[int, int, list[tuple[str, list[str]]]]]) -> int:
+    """Bands of one value that miss no notice with a chance over MISS: (1 - least similarity) ** bands <= MISS."""
+    least = 1.0
+    for size, _, group in groups:
+        for _, words in group:
+            grams = len({tuple(words[i : i + SHINGLE_WORDS]) for i in range(len(words) - SHINGLE_WORDS + 1)})
+            shared = math.ceil(MIN_CONTAINMENT * grams)
+            least = min(least, shared / (size - SHINGLE_WORDS + 1 + grams - shared))
+    return math.ceil(math.log(MISS) / math.log(1 - least)) if least < 1 else 1
 
 
-def _notice_table(spark: SparkSession, groups: list) -> DataFrame:
-    rows = [(i, f"{license_}/{k}", license_, " ".join(words)) for i, (_, _, group) in enumerate(groups) for k, (license_, words) in enumerate(group)]
-    table = spark.range(len(rows)).select(*[F.element_at(F.array(*[F.lit(r[j]) for r in rows]), F.col("id").cast("int") + 1).alias(n) for j, n in enumerate(("class", "notice", "license", "words"))])
-    return table.select("class", "notice", "license", shingles(F.split("words", " ")).alias("notice_grams"))
+def hashed(words: Column) -> Column:
+    """Hashes of the shingles of an array of words, by place; null for fewer words."""
+    gram = lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(SHINGLE_WORDS)])
+    return F.when(F.size(words) >= SHINGLE_WORDS, F.transform(F.sequence(F.lit(0), F.size(words) - SHINGLE_WORDS), gram))
 
 
-def _hits(words: Column, starts: list[str], grams: list[str], reach: int) -> Column:
-    """For each place of an array of words where a notice's shingle stands: place, shingle, place where the context begins, context.
+def bound(value: Column, use) -> Column:
+    """use(value) with the value made once, as a lambda's variable: a plain column would be made again at each use."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    The context holds the words within ``reach`` on both sides, so the text isn't needed again.
-    """
-    gram = lambda i: F.array_join(F.slice(words, i + 1, F.lit(SHINGLE_WORDS)), " ")
-    # A shingle's first word is cheap to test; the whole shingle follows.
-    hit = lambda i: F.get(words, i).isin(starts) & gram(i).isin(grams)
-    begin = lambda i: F.greatest(F.lit(0), i - reach)
-    at = F.when(F.size(words) >= SHINGLE_WORDS, F.sequence(F.lit(0), F.size(words) - SHINGLE_WORDS))
-    return F.transform(F.filter(at, hit), lambda i: F.struct(i.alias("place"), gram(i).alias("gram"), begin(i).alias("begin"), F.slice(words, begin(i) + 1, F.lit(2 * reach)).alias("context")))
+
+def bands(words: Column, n: int) -> Column:
+    """For each band, the shingle hash of the words that is least in the band's order."""
+    least = lambda hashes, b: F.array_min(F.transform(hashes, lambda h: F.struct(F.xxhash64(h, b).alias("order"), h.alias("hash"))))["hash"]
+    return bound(hashed(words), lambda hashes: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda b: F.struct(b.alias("number"), least(hashes, b).alias("hash"))))
+
+
+def looked_up(words: Column, values: Column) -> Column:
+    """Places of an array of words, with their hashes, whose shingle hash is one of the values."""
+    places = lambda hashes, own: F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), lambda i: F.array_contains(own, F.get(hashes, i)))
+    some = lambda hashes, own: F.when(F.size(own) > 0, F.transform(places(hashes, own), lambda i: F.struct(i.alias("place"), F.get(hashes, i).alias("hash"))))
+    return bound(hashed(words), lambda hashes: bound(F.array_intersect(hashes, values), lambda own: some(hashes, own)))
+
+
+def _notice_table(spark: SparkSession, groups: list) -> DataFrame:
+    rows = [(i, size, stride, f"{license_}/{k}", license_, words) for i, (size, stride, group) in enumerate(groups) for k, (license_, words) in enumerate(group)]
+    table = spark.range(len(rows)).select(F.element_at(F.array(*[F.struct(*[F.lit(x) for x in r[:5]], F.split(F.lit(" ".join(r[5])), " ")) for r in rows]), F.col("id").cast("int") + 1).alias("x"))
+    named = table.select(*[F.col(f"x.col{j + 1}").alias(n) for j, n in enumerate(("class", "size", "stride", "notice", "license", "words"))])
+    return named.select("class", "size", "stride", "notice", "license", shingles(F.col("words")).alias("notice_grams"), F.explode(bands(F.col("words"), band_count(groups))).alias("band"))
 
 
 def scan_licenses(docs: DataFrame, notices: dict[str, tuple[str, ...]] = NOTICES) -> DataFrame:
@@ -111,32 +130,31 @@ def scan_licenses(docs: DataFrame, notices: dict[str, tuple[str, ...]] = NOTICES
     Output, a row for each doc_id and license found: doc_id, license, n_places (distinct first
     words of matching windows, over notices), containment (the best). Words are runs of a-z and
     0-9 in lower case. Null and empty texts and texts of fewer than five words hold nothing, nor
-    do rows with a null doc_id. Repeated rows count once; other columns are ignored; an empty
-    table gives an empty result. Whole texts are scanned.
+    do rows with a null doc_id. Repeated rows count once; of rows with one doc_id and unlike texts
+    each is scanned by itself, and their places count together. Other columns are ignored; an
+    empty table gives an empty result. Whole texts are scanned.
     """
     groups = classes(notices)
-    grams = sorted({" ".join(w[i : i + SHINGLE_WORDS]) for _, _, group in groups for _, w in group for i in range(len(w) - SHINGLE_WORDS + 1)})
-    starts = sorted({g.split(" ")[0] for g in grams})
     reach = max(size for size, _, _ in groups)
-    # An empty first or last word stays: it only moves positions. The array of one array binds the
-    # words to a lambda's variable, so a text is split once and not once for each place.
-    once = F.array(F.split(F.lower("text"), "[^a-z0-9]+"))
-    hits = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.explode(F.flatten(F.transform(once, lambda w: _hits(w, starts, grams, reach)))).alias("hit")).select("doc_id", "hit.*")
+    # The table of notices and their bands: as many rows as notices times bands.
+    keys = _notice_table(docs.sparkSession, groups)
+    values = keys.agg(F.collect_set("band.hash")).scalar()
+    # An empty first or last word stays: it only moves positions.
+    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("version"), F.split(F.lower("text"), "[^a-z0-9]+").alias("words"), values.alias("values"))
+    begin = F.greatest(F.lit(0), F.col("place") - reach)
+    # The context holds the words within ``reach`` on both sides, so the text isn't needed again.
+    hits = texts.select("doc_id", "version", "words", F.explode(looked_up(F.col("words"), F.col("values"))).alias("hit")).select("doc_id", "version", "words", "hit.*").select("doc_id", "version", "place", "hash", begin.alias("begin"), F.slice("words", begin + 1, F.lit(2 * reach)).alias("context"))
     # Windows begin at multiples of the stride; those that hold the shingle at h begin from h + 5 - size to h.
-    rules = F.array(*[F.struct(F.lit(i).alias("class"), F.lit(size).alias("size"), F.lit(stride).alias("stride"), F.array(*[F.lit(g) for g in sorted({" ".join(w[k : k + SHINGLE_WORDS]) for _, w in group for k in range(len(w) - SHINGLE_WORDS + 1)})]).alias("own")) for i, (size, stride, group) in enumerate(groups)])
-    ruled = hits.select("*", F.explode(F.filter(rules, lambda r: F.array_contains(r["own"], F.col("gram")))).alias("rule"))
-    first = F.greatest(F.lit(0), F.ceil((F.col("place") + SHINGLE_WORDS - F.col("rule.size")) / F.col("rule.stride"))).cast("int")
-    last = F.floor(F.col("place") / F.col("rule.stride")).cast("int")
-    placed = ruled.where(first <= last).select("doc_id", F.col("rule.class").alias("class"), F.col("rule.size").alias("size"), F.col("rule.stride").alias("stride"), "begin", "context", F.explode(F.sequence(first, last)).alias("w"))
+    ruled = hits.join(F.broadcast(keys.select("class", "size", "stride", F.col("band.hash").alias("hash")).distinct()), "hash")
+    first = F.greatest(F.lit(0), F.ceil((F.col("place") + SHINGLE_WORDS - F.col("size")) / F.col("stride"))).cast("int")
+    last = F.floor(F.col("place") / F.col("stride")).cast("int")
+    placed = ruled.where(first <= last).select("doc_id", "version", "class", "size", "stride", "begin", "context", F.explode(F.sequence(first, last)).alias("w"))
     window = F.slice("context", F.col("w") * F.col("stride") - F.col("begin") + 1, F.col("size"))
-    windows = placed.select("doc_id", "class", (F.col("w") * F.col("stride")).alias("place"), window.alias("window")).groupBy("doc_id", "class", "place").agg(F.first("window").alias("window"))
-    windows = windows.groupBy("doc_id", "class", "place").agg(F.first(shingles(F.col("window"))).alias("grams"))
-    table = _notice_table(docs.sparkSession, groups)
-    # The table of notices is fixed: a few dozen rows.
-    keys = table.select("class", "notice", "license", "notice_grams", F.explode(bands(F.col("notice_grams"))).alias("band"))
-    near = windows.select("doc_id", "class", "place", "grams", F.explode(bands(F.col("grams"))).alias("band")).join(F.broadcast(keys), ["class", "band"])
-    share = F.size(F.array_intersect("grams", "notice_grams")) / F.size("notice_grams")
-    matched = near.select("doc_id", "license", "place", share.alias("containment")).where(F.col("containment") >= MIN_CONTAINMENT)
+    windows = placed.select("doc_id", "version", "class", (F.col("w") * F.col("stride")).alias("place"), window.alias("window")).groupBy("doc_id", "version", "class", "place").agg(F.first("window").alias("window"))
+    near = windows.select("*", F.explode(bands(F.col("window"), band_count(groups))).alias("band")).join(F.broadcast(keys.select("class", "license", "notice", "notice_grams", "band")), ["class", "band"])
+    candidates = near.groupBy("doc_id", "version", "class", "place", "license", "notice").agg(F.first("window").alias("window"), F.first("notice_grams").alias("notice_grams"))
+    share = F.size(F.array_intersect(shingles(F.col("window")), "notice_grams")) / F.size("notice_grams")
+    matched = candidates.select("doc_id", "license", "place", share.alias("containment")).where(F.col("containment") >= MIN_CONTAINMENT)
     return matched.groupBy("doc_id", "license").agg(F.count_distinct("place").alias("n_places"), F.max("containment").alias("containment"))
 
 
