@@ -40,7 +40,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that arrive in batches, appended and compacted, as the last version has them."""
     docs = table(spark, sf_dir, "documents")
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS))
-    store = shards.shard_arrivals(docs, [docs.where(batch == k) for k in range(ARRIVALS)], shared_folder(spark))
+    store = shards.shard_arrivals(docs, batch, ARRIVALS, shared_folder(spark))
     return store.read().select("doc_id", "lang", "source", "n_chars", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
