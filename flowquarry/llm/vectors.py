@@ -29,8 +29,9 @@ from .common import dropped, shared_folder
 from .graphs import components, forest
 
 MIN_COSINE = 0.98
-#: Vectors that codebooks are fitted on, steps of the fit, vectors aimed at in a cell, largest codebook.
-TRAIN_VECTORS, STEPS, CELL_VECTORS, MAX_CENTRES = 20_000, 10, 200, 64
+#: Vectors that codebooks are fitted on, steps of the fit, vectors aimed at in a cell, sample vectors that a centre needs.
+#: So codebooks grow with the square root of the vectors of a label, up to 2,500 centres (1.25 billion vectors a label).
+TRAIN_VECTORS, STEPS, CELL_VECTORS, CENTRE_VECTORS = 20_000, 10, 200, 8
 #: Vectors in a block of a crowded cell; crowded cells known to the driver are at most MAX_CROWDED.
 BLOCK, MAX_CROWDED = 1024, 50_000
 _PREPARED = "vec_id long, label long, dim int, key binary, raw binary"
@@ -77,12 +78,20 @@ def bounds(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nearest centre of each row, and lower bounds of the squared distances to all centres' regions."""
     square = (x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1)
     near = square.argmin(axis=1)
-    apart = np.sqrt(((centres[:, None] - centres[None]) ** 2).sum(axis=2))[near]
+    own = (centres * centres).sum(axis=1)
+    apart = np.sqrt(np.maximum(own[:, None] - 2 * centres @ centres.T + own, 0.0))
+    # A distance that rounding could make too large would give too large a bound.
+    apart = np.where(apart > 1e-6, apart, 0.0)[near]
     # Distance to the plane halfway between the nearest centre and the other one.
     plane = (square - square[np.arange(len(x)), near][:, None]) / (2 * np.where(apart > 0, apart, np.inf))
     return near, np.maximum(plane, 0.0) ** 2
 
 
+def spread(rep: int, parts: int) -> int:
+    """A part for an id; ids with a common factor don't meet in one."""
+    return ((rep * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> 32) % parts
+
+
 def multi_sequence(first: np.ndarray, second: np.ndarray, most: float) -> list[tuple[int, int]]:
     """Cells by rising sum of their terms, as long as it is at most ``most``."""
     a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
@@ -103,7 +112,7 @@ def _codebooks(reps: DataFrame, total: int, labels: int, sample: int) -> dict[in
     """Two codebooks for each number of dimensions in a bounded sample, chosen by a hash of the vector."""
     point = F.pmod(F.xxhash64("key"), F.lit(1_000_000)) / 1_000_000
     rows = reps.where(point < min(1.0, sample / max(total, 1))).select("key", "dim", "raw").toArrow().sort_by("key").to_pydict()
-    k = int(np.clip(np.sqrt(total / (max(labels, 1) * CELL_VECTORS)), 2, MAX_CENTRES))
+    k = int(np.clip(np.sqrt(total / (max(labels, 1) * CELL_VECTORS)), 2, max(2, sample // CENTRE_VECTORS)))
     found = {}
     for dim in sorted(set(rows["dim"])):
         x = unit_rows([r for r, d in zip(rows["raw"], rows["dim"], strict=True) if d == dim])
@@ -138,22 +147,25 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, sample:
             columns = {c: batch.column(c).to_pylist() for c in ("label", "dim", "rep", "n", "raw")}
             for dim in sorted(set(columns["dim"])):
                 at = [i for i, d in enumerate(columns["dim"]) if d == dim]
-                unit = unit_rows([columns["raw"][i] for i in at])
                 one, two = books.get(dim) or (np.zeros((1, dim // 2)), np.zeros((1, dim - dim // 2)))
-                near1, low1 = bounds(unit[:, : dim // 2], one)
-                near2, low2 = bounds(unit[:, dim // 2 :], two)
-                for k, i in enumerate(at):
+                step = max(16, 1_000_000 // (len(one) + len(two)))  # rows whose distances to all centres are held
+                for j, i in enumerate(at):
+                    k = j % step
+                    if not k:
+                        unit = unit_rows([columns["raw"][x] for x in at[j : j + step]])
+                        near1, low1 = bounds(unit[:, : dim // 2], one)
+                        near2, low2 = bounds(unit[:, dim // 2 :], two)
                     rep, n, raw = columns["rep"][i], columns["n"][i], columns["raw"][i]
                     name = f"{columns['label'][i]}:{dim}:"
                     cell = f"{name}{near1[k]}:{near2[k]}"
                     own = crowded.get(cell, 1)
                     # A crowded cell has a grid of blocks: stored vectors fill a row of it, searching ones a column.
-                    rows += [(cell, rep % own * own + j, True, rep, n, raw) for j in range(own)]
+                    rows += [(cell, spread(rep, own) * own + x, True, rep, n, raw) for x in range(own)]
                     if search:
                         for a, b in multi_sequence(low1[k], low2[k], most):
                             cell = f"{name}{a}:{b}"
                             there = crowded.get(cell, 1)
-                            rows += [(cell, j * there + rep % there, False, rep, n, raw) for j in range(there)]
+                            rows += [(cell, x * there + spread(rep, there), False, rep, n, raw) for x in range(there)]
                     if len(rows) > 20_000:
                         yield _placed(rows)
                         rows = []
