@@ -12,6 +12,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 #: A flow's identity.
 KEY = ("src_ip", "dst_ip", "src_port", "dst_port", "protocol", "exporter_ip", "flow_type")
 TTL_SECONDS = 60
+#: Seconds by which repeats may come late and still be known.
+LATE_SECONDS = 600
 
 
 def first_in_ttl(flows: DataFrame, key: list[str] | tuple[str, ...] = KEY, time: str = "timestamp", ttl_seconds: int = TTL_SECONDS, order: list[str] = ()) -> DataFrame:
@@ -36,14 +38,16 @@ class FirstInTtl(StatefulProcessor):
     """The same for streams: a key's state is the time of its last kept flow.
 
     A micro-batch's flows are folded in event-time order. A flow that comes late, before the last
-    kept one, is a repeat if that lies no more than the TTL ahead.
+    kept one, is a repeat if that lies no more than the TTL ahead. State is dropped once nothing has
+    been kept of a key for the TTL and the time that flows may come late, by the clock.
     """
 
-    def __init__(self, time: str, ttl_seconds: int):
+    def __init__(self, time: str, ttl_seconds: int, late_seconds: int | None):
         self.time, self.ttl = time, pd.Timedelta(seconds=ttl_seconds)
+        self.held_ms = None if late_seconds is None else 1000 * (ttl_seconds + late_seconds)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "us long")
+        self.last = handle.getValueState("last", "us long", self.held_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows)).sort_values(self.time, kind="stable")
@@ -61,6 +65,11 @@ class FirstInTtl(StatefulProcessor):
         pass
 
 
-def first_in_ttl_stream(flows: DataFrame, key: list[str] | tuple[str, ...] = KEY, time: str = "timestamp", ttl_seconds: int = TTL_SECONDS) -> DataFrame:
-    """Deduplicated stream; needs the RocksDB state store, whose size disk bounds, not memory."""
-    return flows.groupBy(*key).transformWithStateInPandas(FirstInTtl(time, ttl_seconds), flows.schema, "append", "none")
+def first_in_ttl_stream(flows: DataFrame, key: list[str] | tuple[str, ...] = KEY, time: str = "timestamp", ttl_seconds: int = TTL_SECONDS, late_seconds: int | None = LATE_SECONDS) -> DataFrame:
+    """Deduplicated stream; needs the RocksDB state store, whose size disk bounds, not memory.
+
+    A stream whose state expires has work at every trigger and so never ends by itself: for one
+    that takes what there is and ends (availableNow), give late_seconds None, and state stays.
+    """
+    mode = "none" if late_seconds is None else "processingTime"
+    return flows.groupBy(*key).transformWithStateInPandas(FirstInTtl(time, ttl_seconds, late_seconds), flows.schema, "append", mode)

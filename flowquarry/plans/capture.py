@@ -14,14 +14,14 @@ def counters(lines: DataFrame, base_date: str, zone: str = "UTC", resolver: str
     parts = logs.packet_fields(F.col("line"), resolver)
     raw = live.select("header", "indented", "live", *[c.alias(n) for n, c in parts.items()])
     dns = F.col("live") & F.col("client").isNotNull()
-    word = F.regexp_extract("body", r"\b(NXDomain|ServFail|Refused|FormErr|NotImp)\b", 1)
+    says = lambda status: F.array_contains(F.split("body", "[^A-Za-z0-9_]+"), status)
     line_counts = raw.agg(
         F.count_if("header").alias("packets"),
         F.count_if(dns & F.col("is_query")).alias("queries"),
         F.count_if(dns & F.col("is_query") & ~F.col("upstream")).alias("client_queries"),
         F.count_if(dns & ~F.col("is_query")).alias("responses"),
-        F.count_if(dns & ~F.col("is_query") & (word == "NXDomain")).alias("nxdomain"),
-        F.count_if(dns & ~F.col("is_query") & (word == "ServFail")).alias("servfail"),
+        F.count_if(dns & ~F.col("is_query") & says("NXDomain")).alias("nxdomain"),
+        F.count_if(dns & ~F.col("is_query") & says("ServFail")).alias("servfail"),
         F.count_if("indented").alias("indented"),
     )
     events = logs.dns_packet_events(lines, base_date, zone, resolver)

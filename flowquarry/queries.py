@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from .functions import identifiers, net
 from .operators import dedup, enrich, rollup, temporal
-from .plans import dashboards, forensic
+from .plans import capture, dashboards, forensic
+from .sources import dimensions, logs
 from .sources import flows as flow_source
-from .sources import logs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,9 +58,8 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def tenant_table(spark: SparkSession) -> DataFrame:
-    rows = [(i, name, *net.cidr(network)) for i, name, network in TENANTS]
-    return spark.createDataFrame(rows, "tenant_id long, tenant_name string, first long, last long, length int")
+def tenant_table(spark: SparkSession, networks: tuple = TENANTS) -> DataFrame:
+    return spark.createDataFrame(dimensions.tenant_rows(list(networks)), dimensions.TENANTS)
 
 
 def threat_table(spark: SparkSession) -> DataFrame:
@@ -454,6 +453,160 @@ def migration_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_content(dhcp(spark, sf_dir), as_set(dhcp(spark, sf_dir)))
 
 
+#: IPv6 networks of tenants, and ranges of addresses as in GEO.
+TENANTS6 = ((1, "campus", "2001:db8::/32"), (2, "labs", "2001:db8:4::/46"), (3, "dorm", "2001:db8:5::/48"), (4, "servers", "10.0.0.0/8"))
+GEO6 = (("2001:db8::", "2001:db8:3:ffff:ffff:ffff:ffff:ffff", "TH", "Bangkok", 13.75, 100.5, 64500, "Org A"), ("2001:db8:4::", "2001:db8:8:ffff:ffff:ffff:ffff:ffff", "", "", 0.0, 0.0, 64501, "Org B"))
+
+
+def _v6_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows from a few IPv6 networks, one in 17 from outside, and every fifth from a mapped IPv4 address."""
+    part = F.col("user_id") % 17
+    six = F.when(part == 16, F.lit("2001:DEAD::1")).otherwise(F.concat(F.lit("2001:db8:"), F.lower(F.hex(part)), F.lit("::"), F.lower(F.hex(F.col("event_id") % 4096))))
+    return events(spark, sf_dir).select("event_id", F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("::ffff:10.0.0."), F.col("event_id") % 200)).otherwise(six).alias("src_ip"))
+
+
+_V6 = ", six AS (SELECT event_id, user_id % 17 AS part, event_id % 5 = 0 AS mapped FROM ev)"
+
+
+@_query(f"{_V6} SELECT event_id, CAST(CASE WHEN mapped THEN 4 WHEN part = 16 THEN 0 WHEN part = 5 THEN 3 WHEN part BETWEEN 4 AND 7 THEN 2 ELSE 1 END AS BIGINT) AS tenant_id, CASE WHEN mapped THEN 'servers' WHEN part = 16 THEN '' WHEN part = 5 THEN 'dorm' WHEN part BETWEEN 4 AND 7 THEN 'labs' ELSE 'campus' END AS tenant_name FROM six")
+def tenant_lpm_v6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.with_tenant(_v6_flows(spark, sf_dir), tenant_table(spark, TENANTS6), "src_ip", "").drop("src_ip")
+
+
+@_query(f"""{_V6} SELECT event_id, CASE WHEN mapped THEN 'private' WHEN part <= 3 THEN 'TH' WHEN part <= 8 THEN 'unknown' ELSE '' END AS src_country, CASE WHEN NOT mapped AND part <= 3 THEN 'Bangkok' ELSE '' END AS src_city,
+CASE WHEN NOT mapped AND part <= 3 THEN 13.75::DOUBLE ELSE 0 END AS src_lat, CASE WHEN NOT mapped AND part <= 3 THEN 100.5::DOUBLE ELSE 0 END AS src_lon,
+CAST(CASE WHEN mapped THEN 0 WHEN part <= 3 THEN 64500 WHEN part <= 8 THEN 64501 ELSE 0 END AS BIGINT) AS src_asn, CASE WHEN mapped THEN '' WHEN part <= 3 THEN 'Org A' WHEN part <= 8 THEN 'Org B' ELSE '' END AS src_org FROM six""")
+def geo_lookup_v6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.createDataFrame(list(GEO6), "a string, b string, country string, city string, lat double, lon double, asn long, org string")
+    city, asn = geo_tables(spark)
+    city6, asn6 = (dimensions.networks6(table, "a", "b", values) for values in (["country", "city", "lat", "lon"], ["asn", "org"]))
+    return enrich.with_geo(_v6_flows(spark, sf_dir), city, asn, "src", city6, asn6).drop("src_ip")
+
+
+_V6_KINDS = (("fc00::", True), ("FD12:3456:", False), ("fe80::", False), ("2001:db8::", False), ("::ffff:10.1.2.", True), ("::ffff:8.8.8.", False), ("fdff::", True), ("fb00::", False))
+
+
+@_query("SELECT event_id, [" + ", ".join(f"'{a}'" for a, _ in _V6_KINDS) + "][event_id % 8 + 1] || (event_id % 256) AS ip, [" + ", ".join(str(b) for _, b in _V6_KINDS) + "][event_id % 8 + 1] AS private FROM ev")
+def private_classification_v6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unique-local and mapped private addresses; the second form is no address at all."""
+    head = F.element_at(F.array(*[F.lit(a) for a, _ in _V6_KINDS]), (F.col("event_id") % 8 + 1).cast("int"))
+    return events(spark, sf_dir).select("event_id", F.concat(head, F.col("event_id") % 256).alias("ip")).withColumn("private", net.is_private(F.col("ip")))
+
+
+_KEY = b"a key for tokens"
+_PAD = lambda mask: "".join(f"\\x{x ^ mask:02X}" for x in _KEY.ljust(64, b"\0"))
+
+
+@_query(f"SELECT event_id, CASE WHEN event_id % 10 = 0 THEN '' ELSE left(sha256('{_PAD(0x5c)}'::BLOB || unhex(sha256('{_PAD(0x36)}'::BLOB || encode('user' || user_id)))), 32) END AS token FROM ev")
+def token_hmac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of accounts, each written with a domain and in capitals."""
+    user = F.when(F.col("event_id") % 10 == 0, "").otherwise(F.concat(F.lit("DOM\\USER"), "user_id"))
+    return events(spark, sf_dir).select("event_id", identifiers.Identity("hashed", _KEY).user(user).alias("token"))
+
+
+@_query("""SELECT status, acct_status, count(*) AS n, count(DISTINCT session_id) AS sessions, min(event_time) AS first_seen, max(event_time) AS last_seen
+FROM (SELECT CASE WHEN event_type IN ('click', 'purchase') THEN 'skip' WHEN event_id % 7 = 0 THEN 'error' ELSE 'event' END AS status, CASE event_type WHEN 'signup' THEN 'Start' WHEN 'view' THEN 'Interim-Update' WHEN 'error' THEN 'Stop' ELSE '' END AS acct_status,
+  's' || (user_id % 7) AS session_id, CASE WHEN event_type NOT IN ('click', 'purchase') AND event_id % 7 = 0 THEN NULL ELSE CAST(date_trunc('second', ts) AS TIMESTAMP) - INTERVAL 7 HOUR END AS event_time FROM ev) GROUP BY 1, 2""")
+def parse_radius_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as accounting records in local time, a seventh without a time, and parsed."""
+    code = F.when(F.col("event_type") == "signup", "1").when(F.col("event_type") == "view", "Interim-Update").when(F.col("event_type") == "error", "2").otherwise("7")
+    known = F.col("event_type").isin("signup", "view", "error")
+    time = F.when(known & (F.col("event_id") % 7 == 0), "").otherwise(F.concat(F.lit('<Timestamp data_type="4">'), F.date_format("ts", "MM/dd/yyyy HH:mm:ss.SSS"), F.lit("</Timestamp>")))
+    line = F.concat(F.lit("<Event>"), time, F.lit("<Acct-Status-Type>"), code, F.lit("</Acct-Status-Type><Acct-Session-Id>s"), F.col("user_id") % 7, F.lit("</Acct-Session-Id><User-Name>x</User-Name></Event>"))
+    parsed = logs.radius_events(events(spark, sf_dir).select(line.alias("line")), identifiers.Identity("passthrough"), "Asia/Bangkok")
+    return parsed.groupBy("status", "acct_status").agg(F.count("*").alias("n"), F.count_distinct("session_id").alias("sessions"), F.min("event_time").alias("first_seen"), F.max("event_time").alias("last_seen"))
+
+
+def _capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as packet text of two lines: views are answers, errors answers of no such name, the others queries; clicks come from the resolver."""
+    k, number = F.get_json_object("props", "$.k"), F.col("event_id")
+    second = number % 43200
+    clock = F.concat_ws(":", F.lpad((second / 3600).cast("int").cast("string"), 2, "0"), F.lpad((second % 3600 / 60).cast("int").cast("string"), 2, "0"), F.lpad((second % 60).cast("string"), 2, "0"))
+    header = F.concat(clock, F.lit(".25 IP (tos 0x0, proto UDP (17), length 60)"))
+    name, client = F.concat(F.lit("H"), F.col("user_id") % 20, F.lit(".Example.com.")), F.concat(F.lit("10.1.0."), k, F.lit(".40000"))
+    ask = lambda who: F.concat(F.lit("    "), who, F.lit(" > 10.0.0.3.53: 5+ A? "), name, F.lit(" (35)"))
+    reply = lambda rest: F.concat(F.lit("    10.0.0.3.53 > "), client, F.lit(": 5 "), rest)
+    answer = F.concat(F.lit("1/0/0 "), name, F.lit(" A 203.0.113."), number % 4, F.lit(" (51)"))
+    kind = F.col("event_type")
+    payload = F.when(kind == "view", reply(answer)).when(kind == "error", reply(F.lit("NXDomain 0/1/0 (40)"))).when(kind == "click", ask(F.lit("10.0.0.3.40001"))).otherwise(ask(client))
+    two = F.posexplode(F.array(header, payload)).alias("at", "line")
+    return events(spark, sf_dir).select((number / 43200).cast("int").cast("string").alias("path"), "event_id", F.col("event_type"), two).select("path", (F.col("event_id") * 2 + F.col("at")).alias("line_no"), "line")
+
+
+_CAPTURE = """, cap AS (SELECT event_type, TIMESTAMP '2024-03-01 00:00:00.25' + to_seconds(event_id % 43200) AS event_time, '10.1.0.' || k AS client_ip, 'h' || (user_id % 20) || '.example.com' AS qname, '203.0.113.' || (event_id % 4) AS ip FROM ev),
+dnsev AS (SELECT event_time, client_ip, qname, CASE WHEN event_type = 'view' THEN ip ELSE '' END AS answer_ip, event_type FROM cap WHERE event_type NOT IN ('click', 'error'))"""
+
+
+@_query(f"{_CAPTURE} SELECT event_time, client_ip, 40000 AS client_port, qname, 'A' AS qtype, answer_ip, event_type = 'view' AS ttl_unknown, count(*) AS n FROM dnsev GROUP BY ALL")
+def parse_packet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = logs.dns_packet_events(_capture(spark, sf_dir), "2024-03-01", "UTC", "10.0.0.3").where("status = 'event'")
+    return found.groupBy("event_time", "client_ip", "client_port", "qname", "qtype", "answer_ip", "ttl_unknown").agg(F.count("*").alias("n"))
+
+
+@_query(f"""{_CAPTURE} SELECT (SELECT count(*) FROM ev) * 2 AS lines, (SELECT count(*) FROM ev) AS packets, (SELECT count(*) FROM cap WHERE event_type NOT IN ('view', 'error')) AS queries, (SELECT count(*) FROM cap WHERE event_type NOT IN ('view', 'error', 'click')) AS client_queries,
+(SELECT count(*) FROM cap WHERE event_type IN ('view', 'error')) AS responses, (SELECT count(*) FROM cap WHERE event_type = 'error') AS nxdomain, CAST(0 AS BIGINT) AS servfail, count(*) AS events, count(*) FILTER (event_type <> 'view') AS query_only, CAST(0 AS BIGINT) AS fallback,
+count(*) FILTER (event_type = 'view') AS answers_a, CAST(0 AS BIGINT) AS answers_aaaa, CAST(0 AS BIGINT) AS errors, count(DISTINCT client_ip) AS clients, count(DISTINCT qname) AS names, count(DISTINCT (client_ip, qname, answer_ip)) AS triples, min(event_time) AS first_seen, max(event_time) AS last_seen,
+epoch(max(event_time)) - epoch(min(event_time)) AS span_seconds, (SELECT count(*) FROM cap WHERE event_type IN ('click', 'error')) AS skips, (SELECT count(*) FROM cap WHERE event_type NOT IN ('view', 'error', 'click')) / (epoch(max(event_time)) - epoch(min(event_time))) AS queries_per_sec FROM dnsev""")
+def capture_report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capture.counters(_capture(spark, sf_dir), "2024-03-01", "UTC", "10.0.0.3")
+
+
+@_query(f"{_CAPTURE} SELECT qname, count(*) AS n FROM dnsev WHERE event_type <> 'view' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15")
+def top_qnames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capture.top_names(_capture(spark, sf_dir), "2024-03-01", "UTC", "10.0.0.3")
+
+
+@_query("SELECT 'h' || (user_id % 20) || '.example.com' AS qname, CASE WHEN event_type = 'view' THEN '203.0.113.' || (event_id % 4) ELSE '' END AS answer_ip, CASE WHEN event_type = 'view' THEN k ELSE 0 END AS ttl, min(ts) AS first_seen, count(*) AS n FROM ev WHERE event_type IN ('view', 'purchase') GROUP BY 1, 2, 3")
+def parse_message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as multi-document messages, a file for each tenth of the accounts: answers, queries, and forwarded ones that don't count."""
+    k, kind = F.get_json_object("props", "$.k"), F.col("event_type")
+    name = F.concat(F.lit("H"), F.col("user_id") % 20, F.lit(".Example.com."))
+    side = F.when(kind == "view", "response").otherwise("query")
+    of = F.when(kind == "view", "CLIENT_RESPONSE").when(kind == "purchase", "CLIENT_QUERY").otherwise("FORWARDER_QUERY")
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    block = F.array(
+        F.lit("type: MESSAGE"), F.lit("message:"), text("  type: ", of), text("  ", side, "_time: !!timestamp ", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")), F.lit('  query_address: "10.0.0.9"'), F.lit("  query_port: 5000"),
+        text("  ", side, "_message_data:"), F.lit("    QUESTION_SECTION:"), text("      - '", name, " IN A'"), F.lit("    ANSWER_SECTION:"), F.when(kind == "view", text("      - '", name, " ", k, " IN A 203.0.113.", F.col("event_id") % 4, "'")).otherwise("    x: y"), F.lit("---"),
+    )
+    lines = events(spark, sf_dir).select((F.col("user_id") % 10).cast("string").alias("path"), "event_id", F.posexplode(block).alias("at", "line")).select("path", (F.col("event_id") * 12 + F.col("at")).alias("line_no"), "line")
+    found = logs.dns_message_events(lines).where("status = 'event'")
+    return found.groupBy("qname", "answer_ip", "ttl").agg(F.min("event_time").alias("first_seen"), F.count("*").alias("n"))
+
+
+def _two_hops(side: str, ip: str) -> str:
+    return f"""{side}q AS (SELECT event_id AS qid, {ip} AS key, ts AS t FROM ev WHERE event_type = 'purchase'),
+{side}top AS (SELECT qid, q.key, t, max(o.event_time) AS opened FROM {side}q q JOIN dhcp o ON o.ip = q.key AND o.event_time <= t AND o.event_id IN (10, 11) GROUP BY 1, 2, 3),
+{side}live AS (SELECT DISTINCT qid, o.mac_token AS mac FROM {side}top x JOIN dhcp o ON o.ip = x.key AND o.event_time = x.opened AND o.event_id IN (10, 11)
+  WHERE t <= opened + INTERVAL 3 DAY AND NOT EXISTS (SELECT 1 FROM dhcp c WHERE c.ip = x.key AND c.mac_token = o.mac_token AND c.event_id = 12 AND c.event_time >= x.opened AND c.event_time <= x.t)),
+{side}dev AS (SELECT q.qid, t, CASE WHEN n = 1 THEN mac ELSE '' END AS mac, coalesce(n > 1, FALSE) AS mac_ambiguous FROM {side}q q LEFT JOIN (SELECT qid, count(*) AS n, max(mac) AS mac FROM {side}live GROUP BY 1) USING (qid)),
+{side}stop AS (SELECT d.qid, d.mac, t, max(o.event_time) AS opened FROM {side}dev d JOIN radius o ON o.mac_token = d.mac AND o.event_time <= t AND o.acct_status <> 'Stop' GROUP BY 1, 2, 3),
+{side}slive AS (SELECT DISTINCT qid, o.session_id, o.user_token AS usr FROM {side}stop x JOIN radius o ON o.mac_token = x.mac AND o.event_time = x.opened AND o.acct_status <> 'Stop'
+  WHERE t <= opened + INTERVAL 3 DAY AND NOT EXISTS (SELECT 1 FROM radius c WHERE c.mac_token = x.mac AND c.session_id = o.session_id AND c.acct_status = 'Stop' AND c.event_time >= x.opened AND c.event_time <= x.t)),
+{side}who AS (SELECT d.qid, mac AS {side}_mac_token, mac_ambiguous AS {side}_mac_ambiguous, CASE WHEN e = 1 AND u = 1 THEN usr ELSE '' END AS {side}_user_token, coalesce(e > 1 OR u > 1, FALSE) AS {side}_user_ambiguous FROM {side}dev d LEFT JOIN (SELECT qid, count(DISTINCT session_id) AS e, count(DISTINCT usr) AS u, max(usr) AS usr FROM {side}slive GROUP BY 1) USING (qid))"""
+
+
+@_query(", " + _two_hops("src", "'10.0.0.' || k") + ", " + _two_hops("dst", "'10.0.0.' || ((k * 3) % 100)") + " SELECT qid AS event_id, src_mac_token, src_mac_ambiguous, src_user_token, src_user_ambiguous, dst_mac_token, dst_mac_ambiguous, dst_user_token, dst_user_ambiguous FROM srcwho JOIN dstwho USING (qid)")
+def enrich_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device and then account of both sides of a flow at its time."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    asked = events(spark, sf_dir).where("event_type = 'purchase'").select("event_id", F.col("ts").alias("timestamp"), F.concat(F.lit("10.0.0."), k).alias("src_ip"), F.concat(F.lit("10.0.0."), k * 3 % 100).alias("dst_ip"))
+    leases, sessions = temporal.lease_intervals(dhcp(spark, sf_dir), timedelta(days=3)), temporal.session_intervals(radius(spark, sf_dir), timedelta(days=3))
+    both = enrich.with_identity(enrich.with_identity(asked, leases, sessions, "src"), leases, sessions, "dst")
+    return both.drop("timestamp", "src_ip", "dst_ip")
+
+
+_TUPLE = "src_ip, dst_ip, src_port, dst_port, protocol, exporter_ip, flow_type"
+
+
+@_query(f"""WITH RECURSIVE pick AS (SELECT {_TUPLE}, timestamp, min(event_id) AS event_id FROM raw GROUP BY ALL), numbered AS (SELECT *, row_number() OVER (PARTITION BY {_TUPLE} ORDER BY timestamp) AS rn FROM pick
+), fold AS (
+  SELECT {_TUPLE}, rn, event_id, timestamp AS last, TRUE AS kept FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT n.src_ip, n.dst_ip, n.src_port, n.dst_port, n.protocol, n.exporter_ip, n.flow_type, n.rn, n.event_id, CASE WHEN n.timestamp > f.last + INTERVAL 60 SECOND THEN n.timestamp ELSE f.last END, n.timestamp > f.last + INTERVAL 60 SECOND
+  FROM fold f JOIN numbered n ON n.src_ip = f.src_ip AND n.dst_ip = f.dst_ip AND n.src_port = f.src_port AND n.dst_port = f.dst_port AND n.protocol = f.protocol AND n.rn = f.rn + 1
+), net(i, name, a, b, len) AS (VALUES {_NETS}), geo(a, b, country, city, lat, lon, asn, org) AS (VALUES {_GEO}), lpm AS ({_LPM}),
+full_ AS (SELECT raw.*, lpm.tenant_id AS tenant, CASE WHEN geo.a IS NULL THEN '' WHEN country = '' THEN 'unknown' ELSE country END AS dst_country FROM raw JOIN fold ON fold.event_id = raw.event_id AND fold.kept JOIN lpm ON lpm.event_id = raw.event_id LEFT JOIN geo ON {_NUMBER.format('raw.dst_ip')} BETWEEN geo.a AND geo.b)
+SELECT CAST(date_trunc('hour', timestamp) AS TIMESTAMP) AS timestamp, CAST(tenant AS BIGINT) AS tenant_id, 'private' AS src_country, dst_country, protocol, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(sum(packets) AS BIGINT) AS packets, count(*) AS flow_count FROM full_ GROUP BY ALL""")
 def flow_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: flows deduplicated, enriched by every stage and rolled up by hour."""
     city, asn = geo_tables(spark)

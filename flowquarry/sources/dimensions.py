@@ -13,23 +13,31 @@ from ..functions import net
 log = logging.getLogger(__name__)
 
 
+TENANTS = "tenant_id long, tenant_name string, first long, last long, length int, network6 string"
+
+
+def tenant_rows(networks: list[tuple[int, str, str]]) -> list[tuple]:
+    """Rows of a tenant table from (id, name, network); of a network listed twice the last counts."""
+    found: dict[tuple, tuple] = {}
+    for i, name, network in networks:
+        if four := net.cidr(network):
+            found[4, four[0], four[2]] = (i, name, *four, None)
+        elif six := net.network6(network):
+            found[6, *six] = (i, name, None, None, six[1], six[0])
+        else:
+            log.warning("tenant %s: no network: %s", i, network)
+    return list(found.values())
+
+
 def tenants(spark: SparkSession, path: str) -> DataFrame:
-    """tenant_id, tenant_name, first, last, length of every IPv4 network of a tenants file.
+    """tenant_id, tenant_name, first, last, length, network6 of every network of a tenants file.
 
-    Networks that can't be read are left out with a warning. A network listed twice belongs to
-    the tenant listed last.
+    IPv4 networks have first and last, IPv6 ones network6. Networks that can't be read are left
+    out with a warning.
     """
     text = "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
-    found: dict[tuple[int, int], tuple[int, str, int]] = {}
-    for tenant in (yaml.safe_load(text) or {}).get("tenants") or []:
-        for subnet in tenant.get("subnets") or []:
-            net_ = net.cidr(str(subnet))
-            if net_ is None:
-                log.warning("tenant %s: no IPv4 network: %s", tenant.get("id"), subnet)
-                continue
-            found[net_[0], net_[2]] = (int(tenant.get("id") or 0), str(tenant.get("name") or ""), net_[1])
-    rows = [(i, name, first, last, length) for (first, length), (i, name, last) in found.items()]
-    return spark.createDataFrame(rows, "tenant_id long, tenant_name string, first long, last long, length int")
+    listed = (yaml.safe_load(text) or {}).get("tenants") or []
+    return spark.createDataFrame(tenant_rows([(int(t.get("id") or 0), str(t.get("name") or ""), str(x)) for t in listed for x in t.get("subnets") or []]), TENANTS)
 
 
 def threats(spark: SparkSession, path: str) -> DataFrame:
@@ -45,3 +53,9 @@ def threats(spark: SparkSession, path: str) -> DataFrame:
 def ranges(df: DataFrame, first: str, last: str, values: list[str]) -> DataFrame:
     """An address-range table (text ends) as first, last numbers and values; IPv4 rows only."""
     return df.select(net.v4_number(F.col(first)).alias("first"), net.v4_number(F.col(last)).alias("last"), *values).where("first is not null and last is not null")
+
+
+def networks6(df: DataFrame, first: str, last: str, values: list[str]) -> DataFrame:
+    """The IPv6 rows of an address-range table as networks: network6, length and values."""
+    rows = df.where(F.col(first).contains(":"))
+    return rows.select(F.explode(net.networks6(F.col(first), F.col(last))).alias("n"), *values).select("n.network6", "n.length", *values)

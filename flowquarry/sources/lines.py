@@ -32,7 +32,8 @@ class Tail:
     """Complete new lines of the files in a folder since the last scan.
 
     State is a byte offset per file. A file shorter than its offset is read from its start.
-    Subfolders are skipped, blank lines dropped. For one poller on the host that has the files;
+    Subfolders are skipped, blank lines dropped; a folder that isn't there yet and files that go
+    meanwhile have nothing new. For one poller on the host that has the files;
     what it yields goes on as a DataFrame.
     """
 
@@ -42,9 +43,16 @@ class Tail:
 
     def scan(self) -> Iterator[tuple[str, str]]:
         self.truncated = []
-        for entry in sorted(os.scandir(self.folder), key=lambda x: x.name):
-            if entry.is_file():
-                yield from self._file(entry.path)
+        try:
+            entries = sorted(os.scandir(self.folder), key=lambda x: x.name)
+        except FileNotFoundError:
+            return
+        for entry in entries:
+            try:
+                if entry.is_file():
+                    yield from self._file(entry.path)
+            except FileNotFoundError:
+                continue
 
     def _file(self, path: str) -> Iterator[tuple[str, str]]:
         size, at = os.path.getsize(path), self.offsets.get(path, 0)
@@ -54,6 +62,8 @@ class Tail:
         with Path(path).open("rb") as file:
             file.seek(at)
             data = file.read(SCAN_BYTES)
+            while data and b"\n" not in data and (more := file.read(SCAN_BYTES)):  # a line longer than a scan
+                data += more
         whole = data[: data.rfind(b"\n") + 1]
         self.offsets[path] = at + len(whole)
         for line in whole.decode(errors="replace").split("\n"):

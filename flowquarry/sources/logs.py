@@ -69,23 +69,34 @@ def dns_text_events(lines: DataFrame, zone: str = "UTC") -> DataFrame:
 
     The name is the one asked for. A time that can't be read comes before any other error.
     """
-    line = F.trim("line")
-    response, query = line.contains(": response: "), line.contains(": query: ")
-    head = r"client\s+(?:@\S+\s+)?(\S+?)#(\d+)\s+\([^)]*\):\s*"
-    of_query, of_response = head + r"query:\s+(\S+)\s+\S+\s+(\S+)", head + r"response:\s+(\S+)\s+\S+\s+(\S+)"
-    stamp = F.regexp_extract(line, r"^(\S+ \S+) ", 1)
-    at = F.to_utc_timestamp(F.when(stamp.rlike(r"\.\d+$"), F.try_to_timestamp(F.regexp_replace(stamp, r"(\.\d{1,6})\d*$", "$1"), F.lit("dd-MMM-yyyy HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]"))), zone)
-    field = lambda i: F.when(response, F.regexp_extract(line, of_response, i)).otherwise(F.regexp_extract(line, of_query, i))
-    parsed = lines.select(line.alias("line"), response.alias("response"), query.alias("query"), at.alias("at"), field(1).alias("client"), net.port(field(2)).alias("port"), normal_host(field(3)).alias("qname"), field(4).alias("qtype"))
-    record = r"(\S+)\s+(\d+)\s+IN\s+(A|AAAA)\s+(\S+)"
-    records = F.regexp_extract_all("line", F.lit(record), F.lit(0))
-    answer = lambda r: F.struct(F.regexp_extract(r, record, 2).try_cast("long").alias("ttl"), F.regexp_extract(r, record, 3).alias("qtype"), F.regexp_extract(r, record, 4).alias("ip"))
-    good = F.filter(F.transform(records, answer), lambda a: (a["ttl"] <= 4294967295) & net.fits_type(a["qtype"], a["ip"]))
+    # time: two words; then the word client, a handle that begins with @ or none, address#port, (name):, the marker, and the question.
+    words = F.split(F.trim("line"), r"\s+")
+    split = lines.select(words.alias("w"), F.array_position(words, "client").cast("int").alias("c"))
+    word = lambda i: F.coalesce(F.get("w", i), F.lit(""))
+    marked = lambda text: F.filter(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))), lambda i: (word(i) == text) & word(i - 1).endswith(":"))
+    split = split.select("*", F.try_element_at(marked("response:"), F.lit(1)).alias("r"), F.try_element_at(marked("query:"), F.lit(1)).alias("q"))
+    split = split.select("*", F.coalesce("r", "q").alias("m"), (F.col("c") + word(F.col("c")).startswith("@").cast("int")).alias("e"))
+    origin = F.split(word(F.col("e")), "#")
+    whole = (F.col("c") > 0) & (F.size(origin) == 2) & (F.get(origin, F.lit(0)) != "") & F.get(origin, F.lit(1)).rlike("^[0-9]+$") & word(F.col("e") + 1).startswith("(") & word(F.col("m") - 1).endswith("):") & (F.col("e") < F.col("m"))
+    whole = F.coalesce(whole & (word(F.col("m") + 3) != ""), F.lit(False))
+    stamp = F.concat_ws(" ", word(F.lit(0)), word(F.lit(1)))
+    at = F.to_utc_timestamp(F.when(stamp.rlike("[.][0-9]+$"), F.try_to_timestamp(F.regexp_replace(stamp, r"(\.\d{1,6})\d*$", "$1"), F.lit("dd-MMM-yyyy HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]"))), zone)
+    field = lambda c: F.when(whole, c).otherwise("")
+    # A record: owner, time to live, IN, A or AAAA, address. They follow the question and its status.
+    first = F.col("r") + 4
+    places = F.when(first < F.size("w"), F.filter(F.sequence(first, F.size("w") - 1), lambda i: (word(i) == "IN") & word(i + 1).isin("A", "AAAA") & word(i - 1).rlike("^[0-9]+$")))
+    answers = F.transform(places, lambda i: F.struct(word(i - 1).try_cast("long").alias("ttl"), word(i + 1).alias("qtype"), word(i + 2).alias("ip")))
+    parsed = split.select(
+        F.col("r").isNotNull().alias("response"), F.col("q").isNotNull().alias("query"), at.alias("at"), field(F.get(origin, F.lit(0))).alias("client"), net.port(field(F.get(origin, F.lit(1)))).alias("port"),
+        normal_host(field(word(F.col("m") + 1))).alias("qname"), field(word(F.col("m") + 3)).alias("qtype"), F.coalesce(answers, F.array().cast("array<struct<ttl:bigint,qtype:string,ip:string>>")).alias("answers"),
+    )
+    good = F.filter("answers", lambda a: (a["ttl"] <= 4294967295) & net.fits_type(a["qtype"], a["ip"]))
+    parsed = parsed.select("*", good.alias("good"))
     no = F.lit(False)
-    answered = F.transform(good, lambda a: _dns_row(F.col("at"), F.col("client"), F.col("port"), F.col("qname"), a["qtype"], a["ip"], a["ttl"], no))
+    answered = F.transform("good", lambda a: _dns_row(F.col("at"), F.col("client"), F.col("port"), F.col("qname"), a["qtype"], a["ip"], a["ttl"], no))
     bare = F.array(_dns_row(F.col("at"), F.col("client"), F.col("port"), F.col("qname"), F.col("qtype"), F.lit(""), F.lit(0), no))
     status = F.when(~F.col("response") & ~F.col("query"), SKIP).when(F.col("at").isNull() | (F.col("client") == "") | (F.col("qname") == ""), ERROR).otherwise(EVENT)
-    events = F.when(F.col("response") & (F.size(good) > 0), answered).otherwise(bare)
+    events = F.when(F.col("response") & (F.size("good") > 0), answered).otherwise(bare)
     return _outcomes(parsed.select(status.alias("status"), F.when(status == EVENT, events).alias("events")))
 
 
@@ -97,11 +108,16 @@ def packet_lines(lines: DataFrame, base_date: str, zone: str = "UTC") -> DataFra
     falls by more than twelve hours against the header before. Windows run within a file.
     """
     by = Window.partitionBy("path").orderBy("line_no")
-    token = F.regexp_extract("line", r"^(\d{2}):(\d{2}):(\d{2})\.(\d+)", 0)
-    part = lambda i: F.regexp_extract("line", r"^(\d{2}):(\d{2}):(\d{2})\.(\d+)", i)
-    micros = F.rpad(F.substring(part(4), 1, 6), 6, "0").try_cast("long")
-    clock = (part(1).try_cast("long") * 3600 + part(2).try_cast("long") * 60 + part(3).try_cast("long")) * 1_000_000 + micros
-    valid = (token != "") & (part(1) <= "23") & (part(2) <= "59") & (part(3) <= "59")
+    # A header begins with hours:minutes:seconds.fraction.
+    clock_word = F.split(F.substring_index("line", " ", 1), ":", 3)
+    seconds = F.split(F.get(clock_word, F.lit(2)), "[.]", 2)
+    two = [F.get(clock_word, F.lit(0)), F.get(clock_word, F.lit(1)), F.get(seconds, F.lit(0))]
+    fraction = F.coalesce(F.regexp_extract(F.get(seconds, F.lit(1)), "^[0-9]+", 0), F.lit(""))
+    micros = F.rpad(F.substring(fraction, 1, 6), 6, "0").try_cast("long")
+    clock = sum((c.try_cast("long") * k for c, k in zip(two, (3600, 60, 1), strict=True)), F.lit(0)) * 1_000_000 + micros
+    valid = F.coalesce((fraction != "") & (two[0] <= "23") & (two[1] <= "59") & (two[2] <= "59"), F.lit(False))
+    for c in two:
+        valid &= F.coalesce(c.rlike("^[0-9][0-9]$"), F.lit(False))
     some = lines.where("line <> ''").withColumn("indented", F.col("line").rlike("^[ \t]"))
     some = some.withColumn("header", ~F.col("indented") & valid).withColumn("clock", F.when(F.col("header"), clock))
     some = some.withColumn("udp", F.col("header") & (F.col("line").contains("proto UDP") | F.col("line").contains("next-header UDP")))

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from .schemas import shaped
 
-PARTITION = "event_date"
+PARTITION, BATCH = "event_date", "batch"
 RETENTION_DAYS = 120
 FLOW_ORDER = ("tenant_id", "timestamp", "src_ip", "dst_ip")
 
@@ -37,6 +37,21 @@ def append(df: DataFrame, schema: StructType, path: str, time: str, order: tuple
     (rows.sortWithinPartitions(PARTITION, *order) if order else rows).write.mode("append").partitionBy(PARTITION).parquet(path)
 
 
+def write_batch(rows: DataFrame, path: str, number: int) -> DataFrame | None:
+    """Write rows, which have a day, as a numbered batch below their days and return them as stored; None if there are none.
+
+    Days come first, so readers and expire() see them whatever the batch. The same batch written
+    again replaces what it wrote before.
+    """
+    spark = rows.sparkSession
+    rows.withColumn(BATCH, F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION, BATCH).parquet(path)
+    own = f"{path}/{PARTITION}=*/{BATCH}={number}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(own)
+    if not len(place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []):
+        return None
+    return spark.read.schema(rows.schema).option("basePath", path).parquet(own)
+
+
 def between(df: DataFrame, time: str, start: str, end: str) -> DataFrame:
     """Rows from start to end, both included; also names the days, so other partitions aren't read."""
     low, high = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")

@@ -39,14 +39,21 @@ def test_tokens(spark, tmp_path):
 
 
 def test_private(spark):
-    yes = ["10.0.0.1", "172.16.0.1", "172.31.255.255", "192.168.1.1", "127.0.0.1", "169.254.1.1", "::1", "fe80::1", "FEBF::1"]
-    no = ["172.32.0.1", "8.8.8.8", "192.169.0.1", "11.0.0.0", "2001:db8::1", "not an address", "fec0::1"]
+    yes = ["10.0.0.1", "172.16.0.1", "172.31.255.255", "192.168.1.1", "127.0.0.1", "169.254.1.1", "::1", "fc00::1", "FD12:3456::5", "fdff:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "::ffff:10.0.0.1", "::ffff:c0a8:101"]
+    no = ["172.32.0.1", "8.8.8.8", "192.169.0.1", "11.0.0.0", "2001:db8::1", "not an address", "fe80::1", "fe00::1", "::2", "::ffff:8.8.8.8"]
     assert one(spark, net.is_private, yes + no) == [True] * len(yes) + [False] * len(no)
 
 
 def test_addresses(spark):
     assert one(spark, net.v4_number, ["0.0.0.0", "255.255.255.255", "1.2.3", "1.2.3.256", "01.2.3.4", "", None]) == [0, 2**32 - 1, None, None, None, None, None]
-    assert [x is not None for x in one(spark, net.address_bytes, ["1.2.3.4", "2001:db8::1", "x", None])] == [True, True, False, False]
+    import ipaddress
+
+    six = ["2001:db8::1", "::", "::1", "1:2:3:4:5:6:7:8", "FE80::A:b", "1::", "::ffff:1.2.3.4", "64:ff9b::192.0.2.33"]
+    assert one(spark, net.v6_hex, [*six, "x", "1::2::3", None]) == [f"{int(ipaddress.ip_address(x)):032x}" for x in six] + [None, None, None]
+    for length in (0, 1, 7, 32, 45, 64, 127, 128):
+        want = [net.network6(f"{x}/{length}")[0] for x in six]
+        assert one(spark, lambda c, length=length: net.masked_hex(net.v6_hex(c), length), six) == want
+    assert net.network6("10.0.0.0/8") is None and net.network6("2001:db8::1/33") == ("20010db80", 33)
     assert one(spark, net.is_v6, ["2001:db8::1", "::", "1:2:3:4:5:6:7:8", "1.2.3.4", "1::2::3", "x"]) == [True, True, True, False, False, False]
     assert net.cidr("10.1.2.3/16") == (167837696, 167903231, 16) and net.cidr("x/8") is None
     assert one(spark, lambda c: net.endpoint(c)[1], ["10.0.0.1.53", "fd00::1.65535", "10.0.0.1.70000", "none"]) == [53, 65535, None, None]

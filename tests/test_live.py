@@ -14,7 +14,7 @@ def run(spark, tmp_path, arrivals):
     inbox = tmp_path / "in"
     rows = [(NOW + timedelta(seconds=s), kind, key, mac, "") for key, events in arrivals.items() for kind, mac, s in events]
     spark.createDataFrame(rows, schemas.DHCP_EVENTS).coalesce(1).write.parquet(str(inbox))
-    stream = live.live_leases(spark.readStream.schema(schemas.DHCP_EVENTS).parquet(str(inbox)), timedelta(days=1))
+    stream = live.live_leases(spark.readStream.schema(schemas.DHCP_EVENTS).parquet(str(inbox)), timedelta(days=1), expire=False)
     q = stream.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     return {r.key: (r.candidate, r.closed) for r in spark.read.parquet(str(tmp_path / "out")).collect()}

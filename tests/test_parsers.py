@@ -41,8 +41,8 @@ def test_dhcp(spark):
 def test_dns_text(spark):
     head = "01-Feb-2026 09:15:00.123 client "
     text = "\n".join([
-        head + "@0x7f 10.0.0.5#54321 (a.example): query: A.Example. IN A +E(0)K (10.0.0.1)",
-        head + "10.0.0.5#54321 (a.example): response: a.example IN A NOERROR a.example. 300 IN A 192.0.2.1 a.example. 300 IN A 192.0.2.2",
+        head + "@0x7f 10.0.0.5#40333 (a.example): query: A.Example. IN A +E(0)K (10.0.0.1)",
+        head + "10.0.0.5#40333 (a.example): response: a.example IN A NOERROR a.example. 300 IN A 192.0.2.1 a.example. 300 IN A 192.0.2.2",
         head + "10.0.0.8#99999 (b.example): response: b.example IN AAAA NOERROR b.example. 120 IN AAAA 2001:db8::1",
         head + "10.0.0.9#33333 (c.invalid): response: c.invalid IN MX NXDOMAIN",
         head + "10.0.0.9#33333 (c.invalid): response: c.invalid IN A NOERROR c.invalid. 1 IN A 2001:db8::1 c.invalid. 1 IN AAAA 192.0.2.1 c.invalid. 99999999999 IN A 192.0.2.1",
@@ -51,26 +51,26 @@ def test_dns_text(spark):
     rows = logs.dns_text_events(lines(spark, text)).collect()
     assert Counter(r.status for r in rows) == {"event": 6, "skip": 2, "error": 2}
     events = [(r.client_ip, r.client_port, r.qname, r.qtype, r.answer_ip, r.ttl) for r in rows if r.status == "event"]
-    assert events == [("10.0.0.5", 54321, "a.example", "A", "", 0), ("10.0.0.5", 54321, "a.example", "A", "192.0.2.1", 300), ("10.0.0.5", 54321, "a.example", "A", "192.0.2.2", 300), ("10.0.0.8", 0, "b.example", "AAAA", "2001:db8::1", 120), ("10.0.0.9", 33333, "c.invalid", "MX", "", 0), ("10.0.0.9", 33333, "c.invalid", "A", "", 0)]
+    assert events == [("10.0.0.5", 40333, "a.example", "A", "", 0), ("10.0.0.5", 40333, "a.example", "A", "192.0.2.1", 300), ("10.0.0.5", 40333, "a.example", "A", "192.0.2.2", 300), ("10.0.0.8", 0, "b.example", "AAAA", "2001:db8::1", 120), ("10.0.0.9", 33333, "c.invalid", "MX", "", 0), ("10.0.0.9", 33333, "c.invalid", "A", "", 0)]
     assert str(rows[0].event_time) == "2026-02-01 09:15:00.123000"
 
 
 UDP, TCP = " IP (tos 0x0, proto UDP (17), length 63)", " IP (tos 0x0, proto TCP (6), length 63)"
 PACKETS = "\n".join([
-    "23:59:58.5" + UDP, "    10.0.0.66.51578 > 10.0.0.3.53: 31291+ A? Example.com. (35)",
-    "23:59:59.000001" + UDP, "    10.0.0.3.42109 > 192.0.2.53.53: 42716+% [1au] A? up.example. (54)",
-    "00:00:01.0" + UDP, "    10.0.0.3.53 > 10.0.0.66.51578: 31291 1/0/0 example.com. A 192.0.2.1 (55)",
-    "00:00:02.0" + UDP, "    10.0.0.3.53 > 10.0.0.66.51578: 1 3/0/0 w.example. CNAME c.example., c.example. A 192.0.2.2, c.example. AAAA 2001:db8::2 (99)",
-    "00:00:03.0" + UDP, "    10.0.0.3.53 > 10.0.0.66.51578: 2 1/0/0 p.example. PTR host.example. (40)",
-    "00:00:04.0" + UDP, "    10.0.0.3.53 > 10.0.0.66.51578: 3 NXDomain 0/1/0 (40)",
-    "00:00:05.0" + TCP, "    10.0.0.66.51578 > 10.0.0.3.53: 9+ A? tcp.example. (35)",
-    "    10.0.0.66.1 > 10.0.0.3.53: 9+ A? orphan.example. (35)",
-    "00:00:06.0" + UDP, "banner", "    10.0.0.66.1 > 10.0.0.3.53: 9+ A? late.example. (35)",
+    "23:59:58.5" + UDP, "    10.9.8.21.40112 > 10.0.0.3.53: 7001+ A? Example.com. (35)",
+    "23:59:59.000001" + UDP, "    10.0.0.3.40077 > 192.0.2.53.53: 7002+% [1au] A? up.example. (54)",
+    "00:00:01.0" + UDP, "    10.0.0.3.53 > 10.9.8.21.40112: 7001 1/0/0 example.com. A 192.0.2.1 (55)",
+    "00:00:02.0" + UDP, "    10.0.0.3.53 > 10.9.8.21.40112: 1 3/0/0 w.example. CNAME c.example., c.example. A 192.0.2.2, c.example. AAAA 2001:db8::2 (99)",
+    "00:00:03.0" + UDP, "    10.0.0.3.53 > 10.9.8.21.40112: 2 1/0/0 p.example. PTR host.example. (40)",
+    "00:00:04.0" + UDP, "    10.0.0.3.53 > 10.9.8.21.40112: 3 NXDomain 0/1/0 (40)",
+    "00:00:05.0" + TCP, "    10.9.8.21.40112 > 10.0.0.3.53: 9+ A? tcp.example. (35)",
+    "    10.9.8.21.1 > 10.0.0.3.53: 9+ A? orphan.example. (35)",
+    "00:00:06.0" + UDP, "banner", "    10.9.8.21.1 > 10.0.0.3.53: 9+ A? late.example. (35)",
     "00:00:07.0 IP6 (flowlabel 0x1, next-header UDP (17) payload length: 40)", "    fd00::5.40000 > fd00::3.53: 7+ AAAA? six.example. (35)",
-    "00:00:08.0" + UDP, "    10.0.0.66.1 > 10.0.0.3.53: 9+ A? (35)".replace("A? (35)", "A?"),
-    "00:00:09.0" + UDP, "    10.0.0.66.1 > 10.0.0.3.5353: noise",
-    "00:00:10.0" + UDP, "    10.0.0.9.53 > 10.0.0.3.53: 5+ A? both.example. (35)",
-    "", "25:00:00.0" + UDP, "    10.0.0.66.1 > 10.0.0.3.53: 9+ A? invalidtime.example. (35)",
+    "00:00:08.0" + UDP, "    10.9.8.21.1 > 10.0.0.3.53: 9+ A? (35)".replace("A? (35)", "A?"),
+    "00:00:09.0" + UDP, "    10.9.8.21.1 > 10.0.0.3.5353: noise",
+    "00:00:10.0" + UDP, "    10.9.8.40.53 > 10.0.0.3.53: 5+ A? both.example. (35)",
+    "", "25:00:00.0" + UDP, "    10.9.8.21.1 > 10.0.0.3.53: 9+ A? invalidtime.example. (35)",
 ])
 
 
@@ -78,9 +78,9 @@ def test_dns_packets(spark):
     rows = logs.dns_packet_events(lines(spark, PACKETS), "2026-03-01", "UTC", "10.0.0.3").collect()
     events = [(str(r.event_time), r.client_ip, r.client_port, r.qname, r.qtype, r.answer_ip, r.ttl_unknown) for r in rows if r.status == "event"]
     assert sorted(events) == sorted([
-        ("2026-03-01 23:59:58.500000", "10.0.0.66", 51578, "example.com", "A", "", False), ("2026-03-02 00:00:01", "10.0.0.66", 51578, "example.com", "A", "192.0.2.1", True),
-        ("2026-03-02 00:00:02", "10.0.0.66", 51578, "w.example", "A", "192.0.2.2", True), ("2026-03-02 00:00:02", "10.0.0.66", 51578, "w.example", "AAAA", "2001:db8::2", True),
-        ("2026-03-02 00:00:03", "10.0.0.66", 51578, "p.example", "PTR", "", False), ("2026-03-02 00:00:07", "fd00::5", 40000, "six.example", "AAAA", "", False), ("2026-03-02 00:00:10", "10.0.0.9", 53, "both.example", "A", "", False),
+        ("2026-03-01 23:59:58.500000", "10.9.8.21", 40112, "example.com", "A", "", False), ("2026-03-02 00:00:01", "10.9.8.21", 40112, "example.com", "A", "192.0.2.1", True),
+        ("2026-03-02 00:00:02", "10.9.8.21", 40112, "w.example", "A", "192.0.2.2", True), ("2026-03-02 00:00:02", "10.9.8.21", 40112, "w.example", "AAAA", "2001:db8::2", True),
+        ("2026-03-02 00:00:03", "10.9.8.21", 40112, "p.example", "PTR", "", False), ("2026-03-02 00:00:07", "fd00::5", 40000, "six.example", "AAAA", "", False), ("2026-03-02 00:00:10", "10.9.8.40", 53, "both.example", "A", "", False),
     ])
     assert sum(r.status == "error" for r in rows) == 1
     open_ = logs.dns_packet_events(lines(spark, PACKETS), "2026-03-01").where("status = 'event'")
@@ -88,7 +88,7 @@ def test_dns_packets(spark):
 
 
 def test_headers_pair_within_a_file_only(spark):
-    both = lines(spark, "00:00:01.0" + UDP, "a").unionAll(lines(spark, "    10.0.0.66.1 > 10.0.0.3.53: 9+ A? x.example. (35)", "b"))
+    both = lines(spark, "00:00:01.0" + UDP, "a").unionAll(lines(spark, "    10.9.8.21.1 > 10.0.0.3.53: 9+ A? x.example. (35)", "b"))
     assert outcome(logs.dns_packet_events(both, "2026-03-01")) == {"skip": 2}
 
 
