@@ -14,17 +14,16 @@ from __future__ import annotations
 
 import functools
 import heapq
-import itertools
 import operator
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import released, slices, small_batches
+from .common import slices, small_batches
 
 CAPACITY = 2048
 #: Windows in a group: the unit of differencing. Memory of a task is bounded by it.
@@ -33,7 +32,7 @@ GROUP_WINDOWS = 128
 MAX_PADDING = 0.02
 END_ID = 1
 #: Words kept with their ids, half of them the older half.
-CACHE, CACHE_CHARS, RUNS = 800_000, 48, 500_000
+CACHE, CACHE_CHARS, RUNS = 1_600_000, 48, 800_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -61,7 +60,7 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
             merged.append((a[j][0] + load, a[j][1] + items))
         for j in range(max(free, len(a)), k):
             merged.append(b[k - 1 - j])
-        merged.sort(key=lambda x: -x[0])
+        merged.sort(key=operator.itemgetter(0), reverse=True)
         if len(merged) == k and (low := merged[-1][0]):
             merged = [(x - low, items) for x, items in merged]
         spread = merged[0][0] - (merged[-1][0] if len(merged) == k else 0)
@@ -161,7 +160,7 @@ class WordIds:
         self.signs = {b: chr(b) for b in self._KEPT} | {b: chr(256 + i) for i, b in enumerate(other)}
         # Added tokens that could lie in a word of that form; of others none can.
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values() if self._RUNS.fullmatch(t.content))
-        self.cache: dict[str, bytes] = {"": b""}
+        self.cache = _Known(self.made, {"": b""})
         self.older: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {"": b""}
         self.older_runs: dict[str, bytes] = {}
@@ -180,33 +179,50 @@ class WordIds:
             self.runs[run] = ids
         return ids
 
+    def made(self, word: str) -> bytes | None:
+        """A new word's ids; None where the tokenizer has to be asked."""
+        ids = self.older.get(word)
+        if ids is None:
+            if len(word) > CACHE_CHARS or not (m := self._RUNS.fullmatch(word)) or self.special and any(x in word for x in self.special):
+                return None
+            letters, signs = m.groups()
+            ids = self._run(letters.lower()) + (self._run(signs) if signs else b"")
+        return ids
+
     def texts(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) >= CACHE // 2:
-            self.cache, self.older = {"": b""}, self.cache
-        get = self.cache.get
+            self.cache, self.older = _Known(self.made, {"": b""}), self.cache
+        ids_of = self.cache.__getitem__
         lists = [x.replace("\n", " ").split(" ") for x in texts]
-        found = [list(map(get, words)) for words in lists]
-        missing: set[str] = set()
-        for words, got in zip(lists, found, strict=True):
-            missing.update(itertools.compress(words, map(operator.is_, got, itertools.repeat(None))))
-        made, whole, split = {}, [], self._RUNS.fullmatch
-        for w in missing:
-            if w in self.older:
-                made[w] = self.older[w]
-            elif len(w) <= CACHE_CHARS and (m := split(w)) and not (self.special and any(x in w for x in self.special)):
-                letters, signs = m.groups()
-                made[w] = self._run(letters.lower()) + (self._run(signs) if signs else b"")
-            else:
-                whole.append(w)
-        for word, x in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
-            made[word] = b"".join([i.to_bytes(4, "little") for i in x.ids])
-        for words, got in zip(lists, found, strict=True):
-            if None in got:
-                got[:] = [made[w] if x is None else x for w, x in zip(words, got, strict=True)]
-        self.cache.update((w, x) for w, x in made.items() if len(w) <= CACHE_CHARS)
+        found = [list(map(ids_of, words)) for words in lists]
+        if asked := self.cache.unknown:
+            self.cache.unknown = {}
+            whole = list(asked)
+            for word, x in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False), strict=True):
+                asked[word] = b"".join([i.to_bytes(4, "little") for i in x.ids])
+            for words, got in zip(lists, found, strict=True):
+                if None in got:
+                    got[:] = [asked[w] if x is None else x for w, x in zip(words, got, strict=True)]
+            self.cache.update((w, x) for w, x in asked.items() if len(w) <= CACHE_CHARS)
         return list(map(b"".join, found))
 
 
+class _Known(dict):
+    """Words' ids by word. What it doesn't hold it makes; words for the tokenizer give None and gather in ``unknown``."""
+
+    def __init__(self, make: Callable[[str], bytes | None], known: dict[str, bytes]):
+        super().__init__(known)
+        self.make, self.unknown = make, {}
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = self.make(word)
+        if ids is None:
+            self.unknown[word] = None
+        else:
+            self[word] = ids
+        return ids
+
+
 @functools.lru_cache(1)
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
@@ -298,4 +314,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, gr
             yield batch_of(rows)
 
     small_batches(docs)
-    return docs.select("doc_id", "text").mapInArrow(released(run), SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
