@@ -65,14 +65,14 @@ def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 def _released(run: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     _tune()
     yield from run(batches)
-    _give_back()
+    give_back()
 
 
 def lean(made: Callable, *arguments: object) -> object:
     """made(*arguments) on the driver; what it needed beside its result goes back to the system."""
     _tune()
     out = made(*arguments)
-    _give_back()
+    give_back()
     return out
 
 
@@ -95,7 +95,8 @@ def _tune() -> None:
         library.mallopt(-1, 16 << 20)  # M_TRIM_THRESHOLD
 
 
-def _give_back() -> None:
+def give_back() -> None:
+    """Free memory of this process goes back to the system."""
     gc.collect()
     if library := _allocator():
         library.malloc_trim(0)

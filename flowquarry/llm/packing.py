@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import slices, small_batches
+from .common import give_back, slices, small_batches
 
 CAPACITY = 2048
 #: Windows in a group: the unit of differencing. Memory of a task is bounded by it.
@@ -312,6 +312,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, gr
                     yield batch_of(rows)
         if rows := list(packer.close()):
             yield batch_of(rows)
+        give_back()
 
     small_batches(docs)
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
