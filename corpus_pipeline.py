@@ -36,7 +36,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences."""
-    return packing.pack_documents(docs, vocabulary_path(WORD_MODEL))
+    return packing.pack_documents(docs, vocabulary_path(WORD_MODEL), lasting=False)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import give_back, slices, small_batches
+from .common import released, slices, small_batches
 
 CAPACITY = 2048
 #: Windows in a group: the unit of differencing. Memory of a task is bounded by it.
@@ -33,6 +33,8 @@ MAX_PADDING = 0.02
 END_ID = 1
 #: Words kept with their ids, half of them the older half.
 CACHE, CACHE_CHARS, RUNS = 800_000, 48, 500_000
+#: The same where they don't outlive a task.
+FEW_WORDS, FEW_RUNS = 300_000, 200_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -151,9 +153,10 @@ class WordIds:
     #: The printable stand-in of each byte in byte-level vocabularies.
     _KEPT = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = CACHE, runs: int = RUNS):
         from tokenizers import Tokenizer
 
+        self.most_words, self.most_runs = words, runs
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         other = [b for b in range(256) if b not in set(self._KEPT)]
@@ -174,7 +177,7 @@ class WordIds:
                 return ids
             signs = run if run.isascii() else "".join([self.signs[b] for b in run.encode()])
             ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(signs)])
-            if len(self.runs) >= RUNS // 2:
+            if len(self.runs) >= self.most_runs // 2:
                 self.runs, self.older_runs = {"": b""}, self.runs
             self.runs[run] = ids
         return ids
@@ -190,7 +193,7 @@ class WordIds:
         return ids
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) >= CACHE // 2:
+        if len(self.cache) >= self.most_words // 2:
             self.cache, self.older = _Known(self.made, {"": b""}), self.cache
         ids_of = self.cache.__getitem__
         lists = [x.replace("\n", " ").split(" ") for x in texts]
@@ -279,7 +282,7 @@ class Packer:
         return out + powers(window)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group_windows: int = GROUP_WINDOWS) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group_windows: int = GROUP_WINDOWS, lasting: bool = True) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` (a power of two) tokens.
 
     Output, a row for each piece: doc_id, start (tokens of its document before it), length,
@@ -290,13 +293,15 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, gr
     is too small for that, is cut into powers of two, which need none. Null and empty texts are one token long.
     Repeated rows are packed each by itself, a null doc_id stays null, other columns are
     ignored, an empty table gives an empty result. sequence_id is the task's number times
-    2^40 plus a running number, so a repeated task gives the same rows.
+    2^40 plus a running number, so a repeated task gives the same rows. With ``lasting`` a worker
+    keeps its words' ids from task to task; otherwise each task has fewer of them and drops them at
+    its end, for jobs whose other stages need the memory. Results don't depend on that.
     """
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_ids(tokenizer)
+        encoder = word_ids(tokenizer) if lasting else WordIds(tokenizer, FEW_WORDS, FEW_RUNS)
         context = TaskContext.get()
         packer = Packer((context.partitionId() if context else 0) << 40, capacity, group_windows)
         end = END_ID.to_bytes(4, "little")
@@ -312,7 +317,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, gr
                     yield batch_of(rows)
         if rows := list(packer.close()):
             yield batch_of(rows)
-        give_back()
 
     small_batches(docs)
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(released(run), SCHEMA)
