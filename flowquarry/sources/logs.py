@@ -60,8 +60,12 @@ def _dns_row(at: Column, client: Column, port: Column, qname: Column, qtype: Col
 
 
 def _outcomes(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """status and events (an array) as rows; what has no event is one row with null fields."""
-    return df.select(*keep, "status", F.explode_outer("events").alias("e")).select(*keep, "status", *[F.col(f"e.{n}").alias(n) for n in _DNS])
+    """status and events (an array) as rows; what has no event is one row with null fields.
+
+    A filter on status isn't moved below the first generator, where the parse would be made again for it.
+    """
+    parsed = df.select(*keep, F.explode_outer(F.array(F.struct("status", "events"))).alias("o"))
+    return parsed.select(*keep, "o.status", F.explode_outer("o.events").alias("e")).select(*keep, "status", *[F.col(f"e.{n}").alias(n) for n in _DNS])
 
 
 def dns_text_events(lines: DataFrame, zone: str = "UTC") -> DataFrame:
